@@ -1,0 +1,48 @@
+"""Joining per-key tables onto facts without shuffling the facts where that is safe."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A per-key table is broadcast only when its counted rows stay below this.
+BROADCAST_ROWS = 200_000
+# A key holding at least 1/HOT_SHARE of all rows is hot; so at most HOT_SHARE keys are.
+HOT_SHARE = 1_000
+
+
+def lookup_join(
+    facts: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    how: str = "left",
+    weight: str | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Join a settled table with unique `keys` onto `facts` (`how`: inner, left, left_semi, left_anti).
+
+    Small table (rows are counted): broadcast, the facts stay where they are. Beyond that a shuffle join,
+    where `weight` names the table's fact count per key: the few hot keys are then joined by broadcast and
+    only the evenly spread rest is shuffled. Rows with a missing key match nothing.
+    """
+    if table.count() <= broadcast_rows:
+        return facts.join(F.broadcast(table), keys, how)
+    if weight is None:
+        return facts.join(table, keys, how)
+
+    total = table.agg(F.sum(weight)).scalar()
+    is_hot = F.col(weight) * HOT_SHARE >= total
+    hot, cold = F.broadcast(table.filter(is_hot)), table.filter(~is_hot)
+    present = facts.na.drop(subset=keys)
+    rest = present.join(hot.select(*keys), keys, "left_anti").join(cold, keys, how)
+    if how == "left_anti":
+        parts = [rest]
+    else:
+        parts = [rest, present.join(hot, keys, "inner" if how == "left" else how)]
+    if how in ("left", "left_anti"):
+        absent = facts.filter(" OR ".join(f"`{k}` IS NULL" for k in keys))
+        parts.append(absent)
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part, allowMissingColumns=True)
+    return result
