@@ -95,13 +95,14 @@ def fix_units(
     price: str = "price",
     unit: str = "sales_unit",
 ) -> DataFrame:
-    """Divide the price and replace the unit of exactly named items."""
-    new_price, new_unit = F.col(price), F.col(unit)
+    """Divide the price and replace the unit of exactly named items; a table without units keeps only prices."""
+    changed = {c: F.col(c) for c in (price, unit) if c in df.columns}
     for name, divisor, written in fixes:
         hit = F.col(item) == name
-        new_price = F.when(hit, F.col(price) / divisor).otherwise(new_price)
-        new_unit = F.when(hit, F.lit(written)).otherwise(new_unit)
-    return df.withColumns({price: new_price, unit: new_unit})
+        changed[price] = F.when(hit, F.col(price) / divisor).otherwise(changed[price])
+        if unit in changed:
+            changed[unit] = F.when(hit, F.lit(written)).otherwise(changed[unit])
+    return df.withColumns(changed)
 
 
 def rounded(df: DataFrame, digits: int = 2) -> DataFrame:

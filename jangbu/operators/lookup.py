@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A per-key table is broadcast only when its counted rows stay below this.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 500_000
 # A key holding at least 1/HOT_SHARE of all rows is hot; so at most HOT_SHARE keys are.
 HOT_SHARE = 1_000
 

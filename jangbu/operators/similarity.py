@@ -30,13 +30,15 @@ _EVERY_TEXT = ""
 
 def gram_counts(df: DataFrame, key: str, text: str, marked: bool = False) -> DataFrame:
     """Rows (key, gram, tf). Texts are placed by key first, so counting needs no further shuffle."""
-    found = grams(tokens(F.col(text)))
+    # The words are a column of their own, so that the pattern runs once per text.
+    found = grams(F.col("_words"))
     if marked:
         found = F.array_append(found, F.lit(_EVERY_TEXT))
     return (
         df.select(key, text)
         .na.drop(subset=[text])
         .repartition(key)
+        .select(key, tokens(F.col(text)).alias("_words"))
         .select(key, F.explode(found).alias("gram"))
         .groupBy(key, "gram")
         .agg(F.count(F.lit(1)).alias("tf"))

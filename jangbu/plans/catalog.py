@@ -27,12 +27,20 @@ def query(function: Query) -> Query:
     return function
 
 
+_DIGITS = {"cv": 6, "weight": 6, "max_similarity": 6, "zero_ratio": 6}
+
+
 def shown(df: DataFrame) -> DataFrame:
-    """Floating measures at the precision that does not depend on summation order."""
-    digits = {"cv": 6, "weight": 6, "max_similarity": 6, "zero_ratio": 6}
-    return df.select(
-        *[F.round(c, digits.get(c, 4)).alias(c) if t == "double" and c != "price" else F.col(c) for c, t in df.dtypes]
-    )
+    """Floating measures rounded to a precision that does not depend on summation order.
+
+    The small offset moves exact halves off the rounding edge.
+    """
+
+    def rounded(name: str):
+        digits = _DIGITS.get(name, 4)
+        return F.round(F.col(name) + 10.0 ** -(digits + 3), digits).alias(name)
+
+    return df.select(*[rounded(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def prepared(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,7 +80,7 @@ def _written_shops(spark, folder, base, dialects):
 
 @query
 def scan_dialects(spark, folder):
-    dialects = [{"sep": ";", "encoding": "UTF-16"}, {"sep": ",", "encoding": "UTF-8"}]
+    dialects = [{"sep": ";", "encoding": "UTF-16LE"}, {"sep": ",", "encoding": "UTF-8"}]
     columns_, paths = _written_shops(spark, folder, scratch_path(spark, "dialects"), dialects)
     files = [tables.CsvFile(p, d["sep"], d["encoding"]) for p, d in zip(paths, dialects)]
     return tables.read_dialects(spark, files, columns_)
@@ -443,7 +451,7 @@ def item_month_median_approx(spark, folder):
 @query
 def impute_zero_year_median(spark, folder):
     repaired = quality.repair_zeros(samples.survey(spark, folder), drop_high=False)
-    return repaired.withColumn("price", F.round("price", 4))
+    return shown(repaired)
 
 
 @query
@@ -648,7 +656,7 @@ def tfidf_documents(spark, folder):
 
 @query
 def prepared_survey(spark, folder):
-    return prepared(spark, folder).withColumn("price", F.round("price", 4))
+    return shown(prepared(spark, folder))
 
 
 @query

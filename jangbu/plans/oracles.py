@@ -32,6 +32,11 @@ raw AS (
 )
 
 
+def _round(expression: str, digits: int = 4) -> str:
+    """Rounded with the offset the queries use."""
+    return f"round(({expression}) + 1e-{digits + 3}, {digits})"
+
+
 def _base_name(column: str) -> str:
     return f"trim(split_part({column}, '(', 1))"
 
@@ -122,8 +127,8 @@ def _measures(zero_cv: bool = False) -> str:
         "stddev_samp(price) / nullif(avg(price), 0)"
     )
     return (
-        "round(avg(price), 4) AS mean, round(stddev_samp(price), 4) AS std, count(price) AS count, "
-        f"round({ratio}, 6) AS cv"
+        f"{_round('avg(price)')} AS mean, {_round('stddev_samp(price)')} AS std, count(price) AS count, "
+        f"{_round(ratio, 6)} AS cv"
     )
 
 
@@ -155,7 +160,7 @@ _LEVELS = {
 _CLEAN_LEVELS = {k: _LEVELS[k] for k in ("category_year", "category_month")}
 _ITEM_LEVELS = {"item_year": ["item_group", "year"], "item_month": ["item_group", "month"]}
 
-_RATIO = "round(coalesce(100.0 * count(*) FILTER (WHERE price = 0) / nullif({total}, 0), 0), 6) AS zero_ratio"
+_RATIO = _round("coalesce(100.0 * count(*) FILTER (WHERE price = 0) / nullif({total}, 0), 0)", 6) + " AS zero_ratio"
 _ZEROS = "count(*) FILTER (WHERE price = 0) AS zero_count"
 _BANDS = (
     SURVEY
@@ -176,7 +181,7 @@ def _tfidf(texts: str, key: str, targets: list[str]) -> str:
 
     def grams(source: str, k: str, text: str) -> str:
         return f"""
-  SELECT {k}, unnest(list_concat(w, list_transform(range(1, greatest(len(w), 1)), i -> w[i] || ' ' || w[i + 1]))) AS gram
+  SELECT {k}, unnest(list_concat(w, list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]))) AS gram
   FROM (SELECT {k}, {_TOKENS.format(text=text)} AS w FROM {source} WHERE {text} IS NOT NULL)"""
 
     return f"""
@@ -234,9 +239,18 @@ _SHOP_TEXTS = (
 _RAW_COLUMNS = "id, market_name, district_name, item_name, price, year_month, remark"
 _SURVEY_ORDER = "id, market_name, district_name, category, item_name, sales_unit, remark, year, month, year_month, price"
 _PROFILED = ["market_name", "district_name", "item_name", "price", "year_month", "remark"]
-_DESCRIBE = """round(avg(price), 4) AS mean, round(stddev_samp(price), 4) AS std, round(min(price), 4) AS min,
-  round(quantile_cont(price, 0.25), 4) AS p25, round(quantile_cont(price, 0.5), 4) AS p50,
-  round(quantile_cont(price, 0.75), 4) AS p75, round(max(price), 4) AS max"""
+_DESCRIBE = ", ".join(
+    f"{_round(expression)} AS {name}"
+    for name, expression in {
+        "mean": "avg(price)",
+        "std": "stddev_samp(price)",
+        "min": "min(price)",
+        "p25": "quantile_cont(price, 0.25)",
+        "p50": "quantile_cont(price, 0.5)",
+        "p75": "quantile_cont(price, 0.75)",
+        "max": "max(price)",
+    }.items()
+)
 
 
 def _describe_text(c: str) -> str:
@@ -267,7 +281,7 @@ _CUT = """split_part(remark, '";', 1)"""
 
 ORACLES: dict[str, str] = {
     # sources
-    "scan_csv": f"WITH {RAW} SELECT * FROM raw",
+    "scan_csv": f"WITH {RAW} SELECT {_all_raw(remark=_NO_EMPTY)} FROM raw",
     "scan_csv_inferred": "SELECT p_partkey, p_name, p_retailprice, p_brand FROM part",
     "scan_dialects": _SHOP_TEXTS.format(c="", s=""),
     "scan_many": _SHOP_TEXTS.format(c=", 'customer' AS source", s=", 'supplier'"),
@@ -356,22 +370,22 @@ FROM customer UNION ALL SELECT NULL, {_SUPPLIERS}, NULL, s_suppkey FROM supplier
     f"{_RATIO.format(total='count(price)')} FROM survey GROUP BY item_name",
     "zero_ratio_inner": f"WITH {SURVEY} SELECT item_name, count(*) AS total_count, {_ZEROS}, "
     f"{_RATIO.format(total='count(*)')} FROM survey GROUP BY item_name HAVING count(*) FILTER (WHERE price = 0) > 0",
-    "zero_ratio_bands": f"WITH {_BANDS} SELECT item_name, total_count, zero_count, round(r, 6) AS zero_ratio, band FROM bands",
+    "zero_ratio_bands": f"WITH {_BANDS} SELECT item_name, total_count, zero_count, {_round('r', 6)} AS zero_ratio, band FROM bands",
     "low_zero_rows": f"WITH {_BANDS} SELECT survey.* FROM survey SEMI JOIN (SELECT * FROM bands WHERE band = 'low') b USING (item_name)",
     "drop_high_zero_items": f"WITH {_BANDS} SELECT survey.* FROM survey ANTI JOIN (SELECT * FROM bands WHERE band = 'high') b USING (item_name)",
-    "item_year_median": f"WITH {SURVEY} SELECT item_name, year, round(median(price), 4) AS median, count(price) AS n_values "
+    "item_year_median": f"WITH {SURVEY} SELECT item_name, year, {_round('median(price)')} AS median, count(price) AS n_values "
     "FROM survey GROUP BY item_name, year",
     "item_month_median_approx": f"WITH {SURVEY} SELECT item_name, year_month, quantile_disc(price, 0.5) AS median "
     "FROM survey GROUP BY item_name, year_month",
     "impute_zero_year_median": f"WITH {SURVEY}{_repaired('survey', 's')} "
-    "SELECT * EXCLUDE (r) REPLACE (round(price, 4) AS price) FROM sfixed",
+    f"SELECT * EXCLUDE (r) REPLACE ({_round('price')} AS price) FROM sfixed",
     "impute_zero_month_approx": f"""WITH {SURVEY}{_repaired('survey', 's')},
 month_med AS (SELECT item_name, year_month, quantile_disc(price, 0.5) AS m FROM survey GROUP BY item_name, year_month)
 SELECT s.* REPLACE (CASE WHEN s.price = 0 THEN CASE WHEN r > 0 AND r <= 30 THEN m END ELSE s.price END AS price)
 FROM survey s JOIN sratio USING (item_name) JOIN month_med m USING (item_name, year_month) WHERE r <= 30""",
     # outliers
-    "item_quartiles": f"""WITH {SURVEY} SELECT category, item_name, round(quantile_cont(price, 0.25), 4) AS q1,
-round(quantile_cont(price, 0.75), 4) AS q3, count(price) AS n_values FROM survey GROUP BY category, item_name""",
+    "item_quartiles": f"""WITH {SURVEY} SELECT category, item_name, {_round("quantile_cont(price, 0.25)")} AS q1,
+{_round("quantile_cont(price, 0.75)")} AS q3, count(price) AS n_values FROM survey GROUP BY category, item_name""",
     "iqr_by_item": f"WITH {ITEM_ROWS} SELECT * FROM item_rows",
     "iqr_by_group": f"WITH {GROUP_ROWS} SELECT * FROM group_rows",
     "iqr_removed_counts": f"""WITH {GROUP_ROWS},
@@ -437,20 +451,32 @@ HAVING count(DISTINCT year) = (SELECT count(DISTINCT year) FROM survey)""",
 WHERE year BETWEEN 1996 AND 1999 GROUP BY item_group HAVING count(DISTINCT year) = 4""",
     "items_by_category": f"WITH {SURVEY} SELECT DISTINCT category, item_name FROM survey",
     "item_profile": f"""WITH {SURVEY} SELECT category, item_name, {_mode('sales_unit')}, {_mode('remark')},
-round(avg(price), 4) AS mean_price, count(*) AS n_rows FROM survey s
+{_round("avg(price)")} AS mean_price, count(*) AS n_rows FROM survey s
 WHERE regexp_matches(item_name, 'bolt|ring|hot') GROUP BY category, item_name""",
     # titles
     "tfidf_weights": f"WITH {_tfidf(_TITLES, 'listing_id', _TITLE_TARGETS)} "
-    "SELECT listing_id, gram, round(weight, 6) AS weight FROM weights",
+    f"SELECT listing_id, gram, {_round('weight', 6)} AS weight FROM weights",
     "tfidf_match": f"WITH {_tfidf(_TITLES, 'listing_id', _TITLE_TARGETS)} "
-    "SELECT listing_id, round(max_similarity, 6) AS max_similarity FROM scores WHERE max_similarity > 0.005",
+    f"SELECT listing_id, {_round('max_similarity', 6)} AS max_similarity FROM scores WHERE max_similarity > 0.005",
     "tfidf_documents": f"WITH {_tfidf(_DOCS, 'doc_id', _DOC_TARGETS)} "
-    "SELECT doc_id, round(coalesce(max_similarity, 0), 6) AS max_similarity FROM texts LEFT JOIN scores USING (doc_id) "
+    f"SELECT doc_id, {_round('coalesce(max_similarity, 0)', 6)} AS max_similarity FROM texts LEFT JOIN scores USING (doc_id) "
     "WHERE body IS NOT NULL",
     # whole jobs
-    "prepared_survey": f"WITH {PREPARED} SELECT * REPLACE (round(price, 4) AS price) FROM prepared",
+    "prepared_survey": f"WITH {PREPARED} SELECT * REPLACE ({_round('price')} AS price) FROM prepared",
     "survey_report": _levels(PREPARED, "prepared", _LEVELS),
     "survey_report_clean": _levels(
         PREPARED + _kept("prepared", "category, item_name", "item_rows"), "item_rows", _CLEAN_LEVELS
     ),
+    "item_report": _levels(
+        PREPARED
+        + """,
+grouped AS (
+  SELECT prepared.* REPLACE (CASE WHEN item_name = 'old bolt(Brand#1) 1ea' THEN price / 2 ELSE price END AS price),
+         g.item_group
+  FROM prepared JOIN (VALUES ('old'), ('hot'), ('ring')) AS g(item_group) ON contains(item_name, g.item_group)
+)"""
+        + _kept("grouped", "item_group", "group_rows"),
+        "group_rows",
+        _ITEM_LEVELS,
+    ),
 }

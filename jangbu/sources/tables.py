@@ -22,7 +22,9 @@ class CsvFile(NamedTuple):
 
 
 def _reader(spark: SparkSession, sep: str = ",", charset: str = "UTF-8"):
-    return spark.read.option("header", True).option("sep", sep).option("encoding", charset)
+    reader = spark.read.option("header", True).option("sep", sep).option("encoding", charset)
+    # Lines of wide charsets are found by the encoded separator; name the byte order (UTF-16LE, UTF-16BE).
+    return reader.option("lineSep", "\n") if charset.upper().startswith(("UTF-16", "UTF-32")) else reader
 
 
 def read_csv(spark: SparkSession, paths: str | list[str], columns: T.StructType = schema.RAW, **dialect) -> DataFrame:
