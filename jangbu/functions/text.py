@@ -34,12 +34,9 @@ def base_name(col: Column) -> Column:
 def number(col: Column, dtype: str = "double") -> Column:
     """Numeric value of a text, NULL where it is not a number.
 
-    The cast alone would also take `nan` and the suffixes in `12d`, `12f`.
+    The cast alone would also take `nan` and the suffixes in `12d`, `12f`; their letters are spoiled first.
     """
-    value = col.try_cast(dtype)
-    if dtype not in ("double", "float"):
-        return value
-    return F.when(~F.isnan(value) & ~col.rlike(r"\d\.?[dDfF]\s*$"), value)
+    return F.translate(col, "dDfFnN", "xxxxxx").try_cast(dtype)
 
 
 def year_of(year_month: Column) -> Column:
@@ -48,8 +45,8 @@ def year_of(year_month: Column) -> Column:
 
 def month_of(year_month: Column) -> Column:
     """Month number; 0 where it cannot be read, 3 for the mistyped `.3`."""
-    month = F.coalesce(number(F.substring(year_month, 6, 2)), F.lit(0.0))
-    return F.when(month == 0.3, 3).otherwise(month.cast("int"))
+    written = F.replace(F.substring(year_month, 6, 2), F.lit(".3"), F.lit("3"))
+    return F.coalesce(written.try_cast("decimal(10,2)").cast("int"), F.lit(0))
 
 
 def price_from_text(col: Column) -> Column:

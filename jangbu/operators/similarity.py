@@ -24,64 +24,72 @@ def grams(words: Column) -> Column:
     return F.concat(words, bigrams)
 
 
-# Counted once per text, so that its text frequency is the number of texts.
+# Counted once per text, so that its text frequency is the number of texts; its weight is 0.
 _EVERY_TEXT = ""
 
 
-def gram_counts(df: DataFrame, key: str, text: str, marked: bool = False) -> DataFrame:
-    """Rows (key, gram, tf). Texts are placed by key first, so counting needs no further shuffle."""
-    # The words are a column of their own, so that the pattern runs once per text.
-    found = grams(F.col("_words"))
-    if marked:
-        found = F.array_append(found, F.lit(_EVERY_TEXT))
+def gram_counts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows (key, gram, tf) and one marker row per text; missing texts have none.
+
+    Whole texts are placed by their unique key first, so counting needs no shuffle of the longer gram rows.
+    """
     return (
         df.select(key, text)
         .na.drop(subset=[text])
         .repartition(key)
+        # The words are a column of their own, so that the pattern runs once per text.
         .select(key, tokens(F.col(text)).alias("_words"))
-        .select(key, F.explode(found).alias("gram"))
+        .select(key, F.explode(F.array_append(grams(F.col("_words")), F.lit(_EVERY_TEXT))).alias("gram"))
         .groupBy(key, "gram")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
 
 
-def inverse_frequencies(df: DataFrame, key: str, text: str) -> DataFrame:
+def inverse_frequencies(counts: DataFrame) -> DataFrame:
     """Smoothed idf per gram: ln((1 + texts) / (1 + texts with the gram)) + 1."""
-    counts = gram_counts(df, key, text, marked=True)
     frequency = settle(counts.groupBy("gram").agg(F.count(F.lit(1)).alias("df")), "text_frequencies")
-    texts = frequency.filter(F.col("gram") == _EVERY_TEXT).agg(F.max("df")).first()[0] or 0
-    return frequency.filter(F.col("gram") != _EVERY_TEXT).withColumn(
-        "idf", F.log((F.lit(1.0) + texts) / (F.lit(1.0) + F.col("df"))) + 1
-    )
+    marker = F.col("gram") == _EVERY_TEXT
+    texts = frequency.filter(marker).agg(F.max("df")).first()[0] or 0
+    smoothed = F.log((F.lit(1.0) + texts) / (F.lit(1.0) + F.col("df"))) + 1
+    return frequency.withColumn("idf", F.when(marker, 0.0).otherwise(smoothed))
+
+
+def _weighted(counts: DataFrame, idf: DataFrame) -> DataFrame:
+    """Join by gram. A gram may occur in most texts; the lookup joins such grams apart from the rest."""
+    return lookup_join(counts, idf, ["gram"], "inner", "df").withColumn("weight", F.col("tf") * F.col("idf"))
 
 
-def _raw_weights(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    idf = inverse_frequencies(df, key, text)
-    # A gram may occur in most texts; the lookup joins such grams apart from the rest.
-    weighted = lookup_join(gram_counts(df, key, text), idf, ["gram"], "inner", "df")
-    return weighted.select(key, "gram", (F.col("tf") * F.col("idf")).alias("weight")), idf
+def _length() -> Column:
+    return F.sqrt(F.sum(F.col("weight") * F.col("weight")))
 
 
 def tfidf_weights(df: DataFrame, key: str, text: str) -> DataFrame:
     """Rows (key, gram, weight), the weights of a text having length 1."""
-    raw, _ = _raw_weights(df, key, text)
-    norms = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"))
+    counts = settle(gram_counts(df, key, text), "gram_counts")
+    raw = _weighted(counts, inverse_frequencies(counts)).filter(F.col("gram") != _EVERY_TEXT)
+    norms = raw.groupBy(key).agg(_length().alias("_norm"))
     return raw.join(norms, key).select(key, "gram", (F.col("weight") / F.col("_norm")).alias("weight"))
 
 
-def _target_weights(idf: DataFrame, targets: list[str]) -> DataFrame:
-    """Rows (gram, target, target_weight) for the targets' grams that occur in the texts."""
-    spark = idf.sparkSession
+def _target_columns(idf: DataFrame, targets: list[str]) -> DataFrame:
+    """Rows (gram, _t0, _t1, ...): the weight of the gram in each target, for grams that occur in the texts."""
     terms = (
-        spark.createDataFrame([(t,) for t in targets], "target string")
-        .select("target", F.explode(grams(tokens(F.col("target")))).alias("gram"))
-        .groupBy("target", "gram")
+        idf.sparkSession.createDataFrame(list(enumerate(targets)), "_target int, _text string")
+        .select("_target", tokens(F.col("_text")).alias("_words"))
+        .select("_target", F.explode(grams(F.col("_words"))).alias("gram"))
+        .groupBy("_target", "gram")
         .agg(F.count(F.lit(1)).alias("tf"))
-        .join(idf, "gram")
-        .select("target", "gram", (F.col("tf") * F.col("idf")).alias("w"))
     )
-    norms = terms.groupBy("target").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return terms.join(norms, "target").select("target", "gram", (F.col("w") / F.col("norm")).alias("target_weight"))
+    found = settle(
+        idf.join(F.broadcast(terms), "gram").select("_target", "gram", (F.col("tf") * F.col("idf")).alias("weight")),
+        "targets",
+    )
+    shares = found.join(found.groupBy("_target").agg(_length().alias("_norm")), "_target").withColumn(
+        "_share", F.col("weight") / F.col("_norm")
+    )
+    return shares.groupBy("gram").agg(
+        *[F.max(F.when(F.col("_target") == i, F.col("_share"))).alias(f"_t{i}") for i in range(len(targets))]
+    )
 
 
 def max_similarity(
@@ -93,27 +101,15 @@ def max_similarity(
 ) -> DataFrame:
     """Rows (key, max_similarity): best cosine similarity to any target, above `limit` if given.
 
-    Texts without a shared gram have similarity 0 and are listed only without a limit; missing texts never.
+    A text without a shared gram has similarity 0; a missing text has none.
     """
-    raw, idf = _raw_weights(df, key, text)
-    wanted = settle(_target_weights(idf, targets), "targets")
-    # The targets are a short list given by the caller, so their grams fit one array per gram.
-    per_gram = wanted.groupBy("gram").agg(
-        F.collect_list(F.struct("target", "target_weight")).alias("_targets"), F.count(F.lit(1)).alias("_n")
-    )
-    per_gram = settle(per_gram, "target_grams")
-    matched = lookup_join(raw, per_gram, ["gram"], "left")
-    names = sorted(set(targets))
-
-    def product(target: str) -> Column:
-        own = F.filter("_targets", lambda t: t["target"] == target)
-        return F.sum(F.col("weight") * F.get(own, F.lit(0))["target_weight"])
-
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")))
-    sums = matched.groupBy(key).agg(norm.alias("_norm"), *[product(t).alias(f"_t{i}") for i, t in enumerate(names)])
-    best = F.array_max(F.array(*[F.coalesce(F.col(f"_t{i}"), F.lit(0.0)) for i in range(len(names))]))
-    scored = sums.select(key, F.try_divide(best, F.col("_norm")).alias("max_similarity"))
-    if limit is not None:
-        return scored.filter(F.col("max_similarity") > limit)
-    silent = df.filter(F.col(text).isNotNull() & (F.size(tokens(F.col(text))) == 0))
-    return scored.unionByName(silent.select(key, F.lit(0.0).alias("max_similarity")))
+    counts = settle(gram_counts(df, key, text), "gram_counts")
+    idf = inverse_frequencies(counts)
+    # The targets are a short list of the caller; their weights ride on the gram table, so texts join once.
+    wanted = F.broadcast(settle(_target_columns(idf, targets), "target_grams"))
+    columns = [f"_t{i}" for i in range(len(targets))]
+    products = [F.coalesce(F.sum(F.col("weight") * F.col(c)), F.lit(0.0)).alias(c) for c in columns]
+    sums = _weighted(counts, idf.join(wanted, "gram", "left")).groupBy(key).agg(_length().alias("_norm"), *products)
+    best = F.coalesce(F.try_divide(F.array_max(F.array(*columns)), F.col("_norm")), F.lit(0.0))
+    scored = sums.select(key, best.alias("max_similarity"))
+    return scored if limit is None else scored.filter(F.col("max_similarity") > limit)

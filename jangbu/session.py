@@ -17,6 +17,8 @@ def local_session(cpus: int | str = "*", app: str = "jangbu", shuffle_partitions
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # Joins whose measured partitions are small are hashed instead of sorted.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
