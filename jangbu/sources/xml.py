@@ -8,9 +8,6 @@ from pyspark.sql import types as T
 
 from jangbu import rules, schema
 
-CORRUPT = "_corrupt_record"
-
-
 def _empty_to_null(df: DataFrame) -> DataFrame:
     """An empty element is a missing value."""
     return df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in df.columns])
@@ -18,16 +15,8 @@ def _empty_to_null(df: DataFrame) -> DataFrame:
 
 def read_rows(spark: SparkSession, paths: str | list[str], columns: T.StructType = schema.API) -> DataFrame:
     """Every `row` element of XML files; records that do not parse are left out."""
-    permissive = T.StructType([*columns.fields, T.StructField(CORRUPT, T.StringType())])
-    raw = (
-        spark.read.format("xml")
-        .option("rowTag", "row")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(permissive)
-        .load(paths)
-    )
-    return _empty_to_null(raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
+    raw = spark.read.format("xml").option("rowTag", "row").option("mode", "DROPMALFORMED").schema(columns).load(paths)
+    return _empty_to_null(raw)
 
 
 def rows_from_pages(df: DataFrame, page: str, columns: T.StructType = schema.API) -> DataFrame:
