@@ -5,27 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A per-key table is broadcast only when its counted rows stay below this.
-BROADCAST_ROWS = 500_000
+# A per-key table is broadcast only when its measured content stays below this.
+BROADCAST_BYTES = 64 << 20
+# Memory a row takes in a broadcast relation beside its values.
+_ROW_BYTES = 48
 # A key holding at least 1/HOT_SHARE of all rows is hot; so at most HOT_SHARE keys are.
 HOT_SHARE = 1_000
 
 
+def measured_bytes(table: DataFrame) -> int:
+    """Size of the table's content, from one small aggregate."""
+    texts = [c for c, t in table.dtypes if t == "string"]
+    fixed = _ROW_BYTES + 8 * (len(table.columns) - len(texts))
+    lengths = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts]
+    sizes = table.agg(F.count(F.lit(1)) * fixed, *lengths).first()
+    return sum(sizes)
+
+
 def lookup_join(
     facts: DataFrame,
     table: DataFrame,
     keys: list[str],
     how: str = "left",
     weight: str | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Join a settled table with unique `keys` onto `facts` (`how`: inner, left, left_semi, left_anti).
 
-    Small table (rows are counted): broadcast, the facts stay where they are. Beyond that a shuffle join,
-    where `weight` names the table's fact count per key: the few hot keys are then joined by broadcast and
-    only the evenly spread rest is shuffled. Rows with a missing key match nothing.
+    Small table (it is measured): broadcast, the facts stay where they are. Beyond that a shuffle join, where
+    `weight` names the table's fact count per key: the few hot keys are then joined by broadcast and only the
+    evenly spread rest is shuffled. Rows with a missing key match nothing.
     """
-    if table.count() <= broadcast_rows:
+    if measured_bytes(table) <= (BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
         return facts.join(F.broadcast(table), keys, how)
     if weight is None:
         return facts.join(table, keys, how)

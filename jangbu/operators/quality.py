@@ -49,12 +49,12 @@ def zero_band(ratios: DataFrame, limit: float = rules.ZERO_RATIO_LIMIT) -> DataF
 
 
 def low_zero_rows(df: DataFrame, bands: DataFrame, item: str = "item_name") -> DataFrame:
-    """Rows of low-band items."""
+    """Rows of low-band items (`bands` settled)."""
     return lookup_join(df, bands.filter("band = 'low'").select(item, "total_count"), [item], "left_semi", "total_count")
 
 
 def drop_high_zero_items(df: DataFrame, bands: DataFrame, item: str = "item_name") -> DataFrame:
-    """Rows of all other items; rows without an item name stay."""
+    """Rows of all but the high-band items (`bands` settled); rows without an item name stay."""
     return lookup_join(df, bands.filter("band = 'high'").select(item, "total_count"), [item], "left_anti", "total_count")
 
 
@@ -73,7 +73,7 @@ def repair_zeros(
     """
     counts = settle(frequencies(df, [item, year], price), "price_counts")
     bands = settle(zero_band(zero_ratio(counts, item, price, "n"), limit), "zero_bands")
-    low = lookup_join(counts, bands.filter("band = 'low'").select(item), [item], "left_semi")
+    low = low_zero_rows(counts, bands, item)
     medians = group_median(low, [item, year], price, "_median", "n").withColumnRenamed("n_values", "_weight")
     medians = settle(medians, "medians")
     kept = drop_high_zero_items(df, bands, item) if drop_high else df
@@ -96,8 +96,8 @@ def repair_zeros_monthly_approx(
     """
     bands = settle(zero_band(zero_ratio_inner(df, item, price), limit), "zero_bands")
     low = low_zero_rows(df, bands, item)
-    medians = approx_group_median(low.na.drop(subset=[month_key]), [item, month_key], price, name="_median")
-    medians = settle(medians, "medians")
+    medians = approx_group_median(low, [item, month_key], price, name="_median")
+    medians = settle(medians.withColumnRenamed("n_values", "_weight"), "medians")
     kept = drop_high_zero_items(df.na.drop(subset=[item]), bands, item)
-    joined = lookup_join(kept, medians, [item, month_key], "left")
+    joined = lookup_join(kept, medians, [item, month_key], "left", "_weight")
     return joined.withColumn(price, F.when(F.col(price) == 0, F.col("_median")).otherwise(F.col(price))).select(*df.columns)

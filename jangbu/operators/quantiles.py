@@ -133,7 +133,8 @@ def group_quartiles(df: DataFrame, keys: list[str], value: str, weight: str | No
 
 def approx_group_median(df: DataFrame, keys: list[str], value: str, accuracy: int = 10_000, name: str = "median"):
     """Mergeable sketch per group: the state is bounded by `accuracy`, not by the group."""
-    return df.groupBy(*keys).agg(F.percentile_approx(value, 0.5, accuracy).alias(name))
+    sketch = F.percentile_approx(value, 0.5, accuracy)
+    return df.na.drop(subset=keys).groupBy(*keys).agg(sketch.alias(name), F.count(value).alias("n_values"))
 
 
 def approx_group_quartiles(df: DataFrame, keys: list[str], value: str, relative_error: float = 0.05):

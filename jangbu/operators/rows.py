@@ -18,6 +18,10 @@ def drop_zero(df: DataFrame, price: str = "price") -> DataFrame:
     return df.filter(~F.col(price).eqNullSafe(F.lit(0)))
 
 
+def in_markets(df: DataFrame, markets=rules.NEAR_MARKETS, column: str = "market_name") -> DataFrame:
+    return df.filter(F.col(column).isin(*markets))
+
+
 def containing(df: DataFrame, column: str, word: str) -> DataFrame:
     return df.filter(keywords.contains(F.col(column), word))
 
@@ -62,6 +66,11 @@ def union_outer(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def ranked(df: DataFrame, measure: str, *ties: str) -> DataFrame:
+    """Largest measure first, for presentation."""
+    return df.orderBy(F.col(measure).desc(), *ties)
+
+
 def first_rows(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     return df.orderBy(*order).limit(n)
 

@@ -14,7 +14,7 @@ from jangbu.operators import columns, outliers, profile, quality, quantiles, row
 from jangbu.operators import volatility as vol
 from jangbu.plans import samples
 from jangbu.plans import survey as plan
-from jangbu.session import scratch_path
+from jangbu.session import scratch_path, settle
 from jangbu.sinks import tables as sinks
 from jangbu.sources import pages, tables, xml
 
@@ -331,7 +331,7 @@ def filter_eq(spark, folder):
 
 @query
 def market_isin(spark, folder):
-    return samples.survey(spark, folder).filter(F.col("market_name").isin(*samples.MARKETS))
+    return rows.in_markets(samples.survey(spark, folder), samples.MARKETS)
 
 
 @query
@@ -411,7 +411,7 @@ def union_outer(spark, folder):
 
 @query
 def zero_ratio_by_item(spark, folder):
-    return shown(quality.zero_ratio(samples.survey(spark, folder)))
+    return rows.ranked(shown(quality.zero_ratio(samples.survey(spark, folder))), "zero_ratio", "item_name")
 
 
 @query
@@ -430,12 +430,12 @@ def zero_ratio_bands(spark, folder):
 
 @query
 def low_zero_rows(spark, folder):
-    return quality.low_zero_rows(samples.survey(spark, folder), _bands(spark, folder))
+    return quality.low_zero_rows(samples.survey(spark, folder), settle(_bands(spark, folder), "zero_bands"))
 
 
 @query
 def drop_high_zero_items(spark, folder):
-    return quality.drop_high_zero_items(samples.survey(spark, folder), _bands(spark, folder))
+    return quality.drop_high_zero_items(samples.survey(spark, folder), settle(_bands(spark, folder), "zero_bands"))
 
 
 @query
@@ -599,7 +599,8 @@ def describe_all(spark, folder):
 
 @query
 def item_value_counts(spark, folder):
-    return profile.value_counts(iqr_by_item(spark, folder), ["category", "item_name"])
+    counts = profile.value_counts(iqr_by_item(spark, folder), ["category", "item_name"])
+    return rows.ranked(counts, "n_rows", "category", "item_name")
 
 
 @query

@@ -375,8 +375,8 @@ FROM customer UNION ALL SELECT NULL, {_SUPPLIERS}, NULL, s_suppkey FROM supplier
     "drop_high_zero_items": f"WITH {_BANDS} SELECT survey.* FROM survey ANTI JOIN (SELECT * FROM bands WHERE band = 'high') b USING (item_name)",
     "item_year_median": f"WITH {SURVEY} SELECT item_name, year, {_round('median(price)')} AS median, count(price) AS n_values "
     "FROM survey GROUP BY item_name, year",
-    "item_month_median_approx": f"WITH {SURVEY} SELECT item_name, year_month, quantile_disc(price, 0.5) AS median "
-    "FROM survey GROUP BY item_name, year_month",
+    "item_month_median_approx": f"WITH {SURVEY} SELECT item_name, year_month, quantile_disc(price, 0.5) AS median, "
+    "count(price) AS n_values FROM survey GROUP BY item_name, year_month",
     "impute_zero_year_median": f"WITH {SURVEY}{_repaired('survey', 's')} "
     f"SELECT * EXCLUDE (r) REPLACE ({_round('price')} AS price) FROM sfixed",
     "impute_zero_month_approx": f"""WITH {SURVEY}{_repaired('survey', 's')},

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jangbu import rules
+from jangbu import rules, schema
 from jangbu.functions.keywords import category_of
 from jangbu.operators import columns, outliers, quality, rows
 from jangbu.operators.volatility import GROUP, LEVELS, MONTH, YEAR, volatility, volatility_levels
 from jangbu.session import settle
+from jangbu.sources import tables, xml
 
 
 def combine(survey: DataFrame, records: DataFrame) -> DataFrame:
@@ -17,11 +18,18 @@ def combine(survey: DataFrame, records: DataFrame) -> DataFrame:
     return rows.union_outer(records, columns.align_types(survey, records.schema))
 
 
+def load(spark: SparkSession, files: list[tables.CsvFile], api_pages: str | list[str] | None = None) -> DataFrame:
+    """Landed survey files, plus one year of landed API responses, under canonical names."""
+    survey = tables.read_dialects(spark, files)
+    return survey if api_pages is None else combine(survey, xml.api_year(xml.read_rows(spark, api_pages)))
+
+
 def clean(raw: DataFrame) -> DataFrame:
     """Repair texts, drop rows without year-month or item, parse year, month and price.
 
     Only projections and filters: one stage without a shuffle.
     """
+    schema.require_columns(raw, "item_name", "price", "year_month")
     df = columns.null_tokens(columns.repair_text(columns.drop_columns_like(raw)))
     df = columns.parse_year_month(df.na.drop(subset=["year_month"]))
     return columns.to_number(columns.drop_unused(df).na.drop(subset=["item_name"]), "price")
@@ -49,6 +57,7 @@ def volatility_report(prepared: DataFrame, drop_outliers: bool = False, levels=L
 
 def item_rows(prepared: DataFrame, groups=rules.ITEM_GROUPS, fixes=rules.UNIT_FIXES, approximate: bool = False):
     """Rows of the item groups with repaired units, inside the fences of their group."""
+    schema.require_columns(prepared, "item_name", "price")
     grouped = columns.fix_units(rows.explode_groups(prepared, groups=groups), fixes)
     remove = outliers.remove_outliers_approx if approximate else outliers.remove_outliers
     return remove(grouped, [GROUP])

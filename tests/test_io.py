@@ -7,6 +7,7 @@ import pytest
 
 from jangbu import schema
 from jangbu.operators import rows
+from jangbu.plans import survey as plan
 from jangbu.sinks import tables as sinks
 from jangbu.sources import pages, tables, xml
 from jangbu.session import scratch_root, settle
@@ -140,3 +141,13 @@ def test_rows_held_by_the_caller(spark):
     assert df.withColumnsRenamed(schema.API_TAGS).columns[:3] == ["id", "market_id", "market_name"]
     with pytest.raises(Exception):
         tables.from_rows(spark, [("1",)]).collect()
+
+
+def test_load_combines_files_and_api_pages(spark, tmp_path):
+    line = ["9", "2", "시장", "3", "무", "1개", "100", "2023-11", "", "001", "전통시장", "17", "용산구", "2023-11-01"]
+    (tmp_path / "s.csv").write_text(";".join(schema.SURVEY_HEADERS) + "\n" + ";".join(line) + "\n", encoding="utf-8")
+    record = "<row><P_SEQ>1</P_SEQ><A_NAME>배추</A_NAME><A_PRICE>0</A_PRICE><P_YEAR_MONTH>2024-11</P_YEAR_MONTH><P_DATE>2024-11-01</P_DATE></row>"
+    (tmp_path / "p.xml").write_text(f"<list>{record}</list>", encoding="utf-8")
+    both = plan.load(spark, [tables.CsvFile(str(tmp_path / "s.csv"), ";")], str(tmp_path / "p.xml"))
+    cleaned = {(r["item_name"], r["price"], r["year"], r["month"]) for r in plan.clean(both).collect()}
+    assert cleaned == {("무", 100.0, 2023, 11), ("배추", 0.0, 2024, 11)}

@@ -100,7 +100,7 @@ def test_lookup_beyond_the_broadcast_limit(spark, how, monkeypatch):
     table = settle(spark.createDataFrame(table, "k string, y int, n bigint, s double"), "table")
     plain = facts.join(table, ["k", "y"], how)
     for weight in ("n", None):
-        wide = lookup.lookup_join(facts, table, ["k", "y"], how, weight, broadcast_rows=10)
+        wide = lookup.lookup_join(facts, table, ["k", "y"], how, weight, broadcast_bytes=10)
         assert wide.columns == plain.columns
         assert sorted(map(repr, wide.collect())) == sorted(map(repr, plain.collect()))
 

@@ -41,14 +41,11 @@ def expected():
     return weights, best
 
 
-@pytest.fixture(params=[lookup.BROADCAST_ROWS, 0])
+@pytest.fixture(params=[lookup.BROADCAST_BYTES, 0])
 def either_join(request, monkeypatch):
     """Both ways of joining the gram table, with a few hot grams in the second."""
-    original = lookup.lookup_join
     monkeypatch.setattr(lookup, "HOT_SHARE", 6)
-    monkeypatch.setattr(
-        similarity, "lookup_join", lambda *a, **k: original(*a, **k, broadcast_rows=request.param)
-    )
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", request.param)
 
 
 def test_grams(spark):
