@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jangbu import rules, schema
-from jangbu.functions import text
+from jangbu.functions import keywords, text
 
 
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -105,6 +105,21 @@ def fix_units(
     return df.withColumns(changed)
 
 
+def assign_category(
+    df: DataFrame,
+    item: str = "item_name",
+    label: str = "category",
+    ordered_rules=rules.CATEGORY_RULES,
+    other: str = rules.OTHER_CATEGORY,
+) -> DataFrame:
+    """Category of the item by the first matching rule.
+
+    The shortened name is a column of its own, so that it is made once per row and not once per keyword.
+    """
+    named = df.withColumn("_base", text.base_name(F.col(item)))
+    return named.withColumn(label, keywords.first_rule(F.col("_base"), ordered_rules, other)).drop("_base")
+
+
 def rounded(df: DataFrame, digits: int = 2) -> DataFrame:
     """Presentation view: floating columns rounded half to even."""
     return df.select(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jangbu.operators.lookup import lookup_join
 from jangbu.session import settle
 
 # Most counted (keys, value) rows that the built-in percentile may hold, even if all are of one group.
@@ -98,11 +99,13 @@ def _by_ranges(df: DataFrame, keys: list[str], value: str, probs: dict[str, floa
         .filter(F.size("_wanted") > 0)
         .select(*keys, "_range", "_total", "_wanted", (F.col("_end") - F.col("_n")).alias("_start"))
     )
+    # Settled, so that the few chosen ranges thin out the counts before these are shuffled and sorted.
+    ranges = settle(ranges, "rank_ranges")
 
     # Sort inside the chosen ranges and pick the ranked values.
     by_value = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     picked = (
-        freq.join(ranges, [*keys, "_range"])
+        lookup_join(freq, ranges, [*keys, "_range"], "inner")
         .withColumn("_end", F.col("_start") + F.sum("_n").over(by_value))
         .withColumn("_hits", F.filter("_wanted", inside("_end", "_n")))
         .filter(F.size("_hits") > 0)

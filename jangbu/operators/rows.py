@@ -90,10 +90,10 @@ def global_row_number(df: DataFrame, order: list[str], name: str = "row_number")
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.option("maxRecordsPerFile", 0).parquet(path)
     stored = spark.read.schema(df.schema).parquet(path).select(
         "*",
-        F.col("_metadata.file_name").alias("_file"),
+        F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("bigint").alias("_file"),
         F.col("_metadata.row_index").alias("_index"),
     )
-    # One row per written file; part files are numbered in range order.
+    # One row per written file, so bounded by the number of partitions; files are numbered in range order.
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         stored.groupBy("_file")

@@ -282,8 +282,8 @@ def clean_item_name(spark, folder):
 @query
 def assign_category(spark, folder):
     raw = samples.survey_raw(spark, folder).na.drop(subset=["item_name"])
-    label = keywords.category_of(F.col("item_name"), samples.CATEGORY_RULES, samples.OTHER)
-    return raw.select("id", "item_name", label.alias("item_category"))
+    labelled = columns.assign_category(raw, "item_name", "item_category", samples.CATEGORY_RULES, samples.OTHER)
+    return labelled.select("id", "item_name", "item_category")
 
 
 @query
@@ -582,8 +582,8 @@ def row_counts(spark, folder):
 @query
 def category_counts(spark, folder):
     raw = samples.survey_raw(spark, folder).na.drop(subset=["item_name"])
-    label = keywords.category_of(F.col("item_name"), samples.CATEGORY_RULES, samples.OTHER)
-    return profile.category_counts(raw.withColumn("category", label), other=samples.OTHER)
+    labelled = columns.assign_category(raw, ordered_rules=samples.CATEGORY_RULES, other=samples.OTHER)
+    return profile.category_counts(labelled, other=samples.OTHER)
 
 
 @query

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from jangbu import rules, schema
-from jangbu.functions.keywords import category_of
 from jangbu.operators import columns, outliers, quality, rows
 from jangbu.operators.volatility import GROUP, LEVELS, MONTH, YEAR, volatility, volatility_levels
 from jangbu.session import settle
@@ -41,8 +39,7 @@ def prepare(
     other: str = rules.OTHER_CATEGORY,
 ) -> DataFrame:
     """Repair zero prices, drop high-zero items, assign categories."""
-    repaired = quality.repair_zeros(cleaned)
-    return repaired.withColumn("category", category_of(F.col("item_name"), category_rules, other))
+    return columns.assign_category(quality.repair_zeros(cleaned), ordered_rules=category_rules, other=other)
 
 
 def without_outliers(prepared: DataFrame) -> DataFrame:
