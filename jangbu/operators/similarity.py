@@ -45,18 +45,28 @@ def gram_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def inverse_frequencies(counts: DataFrame) -> DataFrame:
-    """Smoothed idf per gram: ln((1 + texts) / (1 + texts with the gram)) + 1."""
+def _smoothed(texts: int, frequency: Column) -> Column:
+    return F.log((F.lit(1.0) + texts) / (F.lit(1.0) + frequency)) + 1
+
+
+def inverse_frequencies(counts: DataFrame) -> tuple[DataFrame, Column]:
+    """Smoothed idf per gram, ln((1 + texts) / (1 + texts with the gram)) + 1, and that of a gram in one text."""
     frequency = settle(counts.groupBy("gram").agg(F.count(F.lit(1)).alias("df")), "text_frequencies")
     marker = F.col("gram") == _EVERY_TEXT
     texts = frequency.filter(marker).agg(F.max("df")).first()[0] or 0
-    smoothed = F.log((F.lit(1.0) + texts) / (F.lit(1.0) + F.col("df"))) + 1
-    return frequency.withColumn("idf", F.when(marker, 0.0).otherwise(smoothed))
+    idf = F.when(marker, 0.0).otherwise(_smoothed(texts, F.col("df")))
+    return frequency.withColumn("idf", idf), _smoothed(texts, F.lit(1))
 
 
-def _weighted(counts: DataFrame, idf: DataFrame) -> DataFrame:
-    """Join by gram. A gram may occur in most texts; the lookup joins such grams apart from the rest."""
-    return lookup_join(counts, idf, ["gram"], "inner", "df").withColumn("weight", F.col("tf") * F.col("idf"))
+def _weighted(counts: DataFrame, idf: DataFrame, once: Column, needed: Column | None = None) -> DataFrame:
+    """Weight of every (text, gram).
+
+    Most grams occur in one text only and share one idf, so only the others are joined (and the `needed`, which
+    bring more columns). A gram may occur in most texts; the lookup joins such grams apart from the rest.
+    """
+    kept = (F.col("df") > 1) | (F.col("gram") == _EVERY_TEXT)
+    found = lookup_join(counts, idf.filter(kept if needed is None else kept | needed), ["gram"], "left", "df")
+    return found.withColumn("weight", F.col("tf") * F.coalesce("idf", once))
 
 
 def _length() -> Column:
@@ -66,7 +76,7 @@ def _length() -> Column:
 def tfidf_weights(df: DataFrame, key: str, text: str) -> DataFrame:
     """Rows (key, gram, weight), the weights of a text having length 1."""
     counts = settle(gram_counts(df, key, text), "gram_counts")
-    raw = _weighted(counts, inverse_frequencies(counts)).filter(F.col("gram") != _EVERY_TEXT)
+    raw = _weighted(counts, *inverse_frequencies(counts)).filter(F.col("gram") != _EVERY_TEXT)
     norms = raw.groupBy(key).agg(_length().alias("_norm"))
     return raw.join(norms, key).select(key, "gram", (F.col("weight") / F.col("_norm")).alias("weight"))
 
@@ -104,12 +114,14 @@ def max_similarity(
     A text without a shared gram has similarity 0; a missing text has none.
     """
     counts = settle(gram_counts(df, key, text), "gram_counts")
-    idf = inverse_frequencies(counts)
+    idf, once = inverse_frequencies(counts)
     # The targets are a short list of the caller; their weights ride on the gram table, so texts join once.
-    wanted = F.broadcast(settle(_target_columns(idf, targets), "target_grams"))
+    wanted = settle(_target_columns(idf, targets), "target_grams")
+    table = idf.join(F.broadcast(wanted.withColumn("_wanted", F.lit(True))), "gram", "left")
     columns = [f"_t{i}" for i in range(len(targets))]
     products = [F.coalesce(F.sum(F.col("weight") * F.col(c)), F.lit(0.0)).alias(c) for c in columns]
-    sums = _weighted(counts, idf.join(wanted, "gram", "left")).groupBy(key).agg(_length().alias("_norm"), *products)
+    weighted = _weighted(counts, table, once, F.col("_wanted").isNotNull())
+    sums = weighted.groupBy(key).agg(_length().alias("_norm"), *products)
     best = F.coalesce(F.try_divide(F.array_max(F.array(*columns)), F.col("_norm")), F.lit(0.0))
     scored = sums.select(key, best.alias("max_similarity"))
     return scored if limit is None else scored.filter(F.col("max_similarity") > limit)
