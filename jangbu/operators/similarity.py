@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jangbu import rules
@@ -90,12 +90,12 @@ def _target_columns(idf: DataFrame, targets: list[str]) -> DataFrame:
         .groupBy("_target", "gram")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    found = settle(
-        idf.join(F.broadcast(terms), "gram").select("_target", "gram", (F.col("tf") * F.col("idf")).alias("weight")),
-        "targets",
-    )
-    shares = found.join(found.groupBy("_target").agg(_length().alias("_norm")), "_target").withColumn(
-        "_share", F.col("weight") / F.col("_norm")
+    # A few rows per target, so a window per target is small.
+    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("_target")))
+    shares = (
+        idf.join(F.broadcast(terms), "gram")
+        .withColumn("_w", F.col("tf") * F.col("idf"))
+        .withColumn("_share", F.col("_w") / length)
     )
     return shares.groupBy("gram").agg(
         *[F.max(F.when(F.col("_target") == i, F.col("_share"))).alias(f"_t{i}") for i in range(len(targets))]
