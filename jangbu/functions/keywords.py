@@ -21,13 +21,21 @@ def contains(col: Column, word: str) -> Column:
     return F.coalesce(col.contains(word), F.lit(False))
 
 
-def contains_any(col: Column, words) -> Column:
+def has_any(col: Column, words) -> Column:
+    """Contains one of the words; NULL for a missing text.
+
+    For filters and CASE branches, where NULL counts as false: in this form the test reaches the table scan.
+    """
     words = list(words)
     if not words:
         return F.lit(False)
     if len(words) > _CHAIN_LIMIT:
-        return matches_any(col, words)
-    return F.coalesce(reduce(or_, (col.contains(w) for w in words)), F.lit(False))
+        return col.rlike("|".join(re.escape(w) for w in words))
+    return reduce(or_, (col.contains(w) for w in words))
+
+
+def contains_any(col: Column, words) -> Column:
+    return F.coalesce(has_any(col, words), F.lit(False))
 
 
 def matches_any(col: Column, words) -> Column:
@@ -43,7 +51,7 @@ def first_rule(col: Column, ordered_rules, default: str) -> Column:
     """Label of the first rule with a contained keyword."""
     chain = None
     for label, words in ordered_rules:
-        hit = contains_any(col, words)
+        hit = has_any(col, words)
         chain = F.when(hit, label) if chain is None else chain.when(hit, label)
     return F.lit(default) if chain is None else chain.otherwise(default)
 

@@ -23,11 +23,11 @@ def in_markets(df: DataFrame, markets=rules.NEAR_MARKETS, column: str = "market_
 
 
 def containing(df: DataFrame, column: str, word: str) -> DataFrame:
-    return df.filter(keywords.contains(F.col(column), word))
+    return df.filter(F.col(column).contains(word))
 
 
 def titles_including(df: DataFrame, column: str = "title", words=rules.TITLE_INCLUDE) -> DataFrame:
-    return df.filter(keywords.contains_any(F.col(column), words))
+    return df.filter(keywords.has_any(F.col(column), words))
 
 
 def titles_including_excluding(
@@ -36,7 +36,8 @@ def titles_including_excluding(
     include=rules.TITLE_INCLUDE,
     exclude=rules.TITLE_EXCLUDE,
 ) -> DataFrame:
-    return df.filter(keywords.include_exclude(F.col(column), include, exclude))
+    col = F.col(column)
+    return df.filter(keywords.has_any(col, include)).filter(~keywords.has_any(col, exclude))
 
 
 def with_prefix(df: DataFrame, column: str, prefix: str = rules.API_DATE_PREFIX) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jangbu import rules, schema
-from jangbu.operators import columns, profile, quality, rows
+from jangbu.operators import columns, outliers, profile, quality, rows
 from jangbu.operators import volatility as vol
 from jangbu.plans import samples
 from jangbu.plans import survey as plan
@@ -262,3 +262,31 @@ def test_required_columns(spark):
 def test_rule_constants():
     assert len(rules.TITLE_EXCLUDE) == 7 and len(rules.TITLE_EXCLUDE_SHORT) == 6
     assert [c for c, _ in rules.CATEGORY_RULES] == list(rules.CATEGORY_SLUGS)
+
+
+# plans
+
+
+def explained(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keyword_filters_reach_the_scan(spark, small):
+    part = samples.table(spark, small, "part").select("p_partkey", "p_name")
+    found = rows.titles_including_excluding(part, "p_name", samples.TITLE_INCLUDE, samples.TITLE_EXCLUDE)
+    text = explained(found)
+    assert "Or(StringContains(p_name,widget),StringContains(p_name,gear))" in text
+    assert "Not(StringCont" in text and "ReadSchema: struct<p_partkey:bigint,p_name:string>" in text
+
+
+def test_facts_are_not_shuffled_to_get_their_fences(spark, small):
+    line = samples.table(spark, small, "lineitem").select("l_partkey", "l_extendedprice")
+    text = explained(outliers.remove_outliers(line, ["l_partkey"], "l_extendedprice"))
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
+def test_volatility_reads_two_columns_and_combines_before_its_shuffle(spark, small):
+    line = samples.table(spark, small, "lineitem")
+    text = explained(vol.volatility(line, ["l_returnflag"], "l_extendedprice"))
+    assert "ReadSchema: struct<l_extendedprice:double,l_returnflag:string>" in text
+    assert "partial_avg" in text and text.count("Exchange hashpartitioning") == 1
