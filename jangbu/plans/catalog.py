@@ -667,12 +667,13 @@ def survey_report(spark, folder):
 
 @query
 def survey_report_clean(spark, folder):
-    return shown(plan.volatility_report(prepared(spark, folder), drop_outliers=True, levels=_REPORT_LEVELS))
+    ready = plan.stored(prepared(spark, folder))
+    return shown(plan.volatility_report(ready, drop_outliers=True, levels=_REPORT_LEVELS))
 
 
 @query
 def item_report(spark, folder):
-    ready = prepared(spark, folder)
+    ready = plan.stored(prepared(spark, folder))
     return shown(plan.item_report(ready, groups=samples.ITEM_GROUPS, fixes=[("old bolt(Brand#1) 1ea", 2, "1ea")]))
 
 
