@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from jangbu.llm import exact_dedup, mixing
+from jangbu.llm import bpe, exact_dedup, mixing
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each whole text and the text decoded from them, as digests."""
+    return bpe.tokenize(_table(spark, sf_dir, "documents"), VOCABULARY, ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each document gives to a mix of the sources, weighed 5, 2, 1."""
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -24,7 +32,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op5_exact_dedup)
+    f.__name__: f for f in (op1_bpe_round_trip, op2_mix_sources, op5_exact_dedup)
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
