@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from jangbu.llm import bpe, exact_dedup, mixing
+from jangbu.llm import bpe, exact_dedup, mixing, urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -31,8 +31,23 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+#: (verdict, host, path), as the contract of the query states them.
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path and verdict of each page's URL; what no rule names is allowed."""
+    return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_round_trip, op2_mix_sources, op5_exact_dedup)
+    f.__name__: f for f in (op1_bpe_round_trip, op2_mix_sources, op5_exact_dedup, op9_url_rules)
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -59,8 +74,22 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+_RULES = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in URL_RULES)
+URLS = f"""
+WITH rules AS (SELECT * FROM (VALUES {_RULES}) AS r(verdict, of_host, of_path)),
+parts AS (SELECT page_id, CASE WHEN contains(url, '://') THEN url[instr(url, '://') + 3:] ELSE '' END AS rest FROM pages),
+cut AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM parts),
+urls AS (SELECT row_number() OVER () AS n, page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest[length(raw) + 1:], '^[^?#]*') AS path FROM cut),
+fits AS (SELECT n, arg_max(of_host || of_path, length(of_host || of_path)) AS rule,
+         arg_max(verdict, length(of_host || of_path)) AS verdict
+         FROM urls JOIN rules ON (host = of_host OR ends_with(host, '.' || of_host)) AND starts_with(path, of_path) GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN fits USING (n)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_mix_sources": MIX,
+    "op9_url_rules": URLS,
     "op5_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
