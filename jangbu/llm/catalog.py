@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from jangbu.llm import bpe, exact_dedup, mixing, urls
+from jangbu.llm import bpe, exact_dedup, mixing, quality, urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -26,6 +26,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each document by boosted trees, learned from four fifths of the labels."""
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, the row with the largest doc_id stays."""
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
@@ -47,7 +52,7 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_round_trip, op2_mix_sources, op5_exact_dedup, op9_url_rules)
+    f.__name__: f for f in (op1_bpe_round_trip, op2_mix_sources, op3_quality, op5_exact_dedup, op9_url_rules)
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"

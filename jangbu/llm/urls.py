@@ -8,22 +8,20 @@ list that the caller holds, and is mapped rather than loaded, so its size is bou
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jangbu.session import scratch_path
+from jangbu.llm.files import array_file, mapped_arrays, shared_file
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_WRITE = 32 << 20
 
 Digest = Callable[[bytes], int]
 
@@ -76,15 +74,7 @@ class Rules:
     """The rules in a mapped file: a number for each host, the path lengths under it, a number for each rule."""
 
     def __init__(self, file: str, digest: Digest):
-        with open(file, "rb") as f:
-            head = json.loads(f.readline())
-            start = f.tell()
-        mapped = np.memmap(file, np.uint8, "r")
-        arrays = []
-        for kind, size in head["arrays"]:
-            start += -start % 8
-            arrays.append(mapped[start : start + size].view(kind))
-            start += size
+        arrays = mapped_arrays(file)
         self.hosts, self.rules = DigestArray(*arrays[:4], digest), DigestArray(*arrays[4:8], digest)
         self.starts, self.lengths = arrays[8:]
 
@@ -104,10 +94,7 @@ class Rules:
             np.cumsum([0, *map(len, lengths)]).astype(np.int64),
             np.array([n for own in lengths for n in sorted(own, reverse=True)], np.int64),
         ]
-        out = bytearray(json.dumps({"arrays": [[a.dtype.str, a.nbytes] for a in arrays]}).encode() + b"\n")
-        for a in arrays:
-            out += bytes(-len(out) % 8) + a.tobytes()
-        return bytes(out)
+        return array_file(arrays)
 
     def longest(self, hosts: list[str], paths: list[str]) -> np.ndarray:
         """The number of the longest rule that fits each URL, -1 where none does."""
@@ -141,17 +128,6 @@ def _full(host: str, path: str) -> bytes:
     return host.encode() + b"\0" + path.encode()
 
 
-def shared_file(spark: SparkSession, content: bytes, label: str) -> str:
-    """Write `content` to the shared scratch folder and have Spark bring it to every executor; its name there."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, label))
-    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
-    for start in range(0, len(content), _WRITE):
-        out.write(content[start : start + _WRITE])
-    out.close()
-    spark.sparkContext.addFile(target.toString())
-    return target.getName()
-
-
 def judge(
     pages: DataFrame,
     rules: Iterable[tuple[str, str, str]],
