@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from jangbu.llm import bpe, exact_dedup, mixing, near_dedup, perplexity, quality, urls
+from jangbu.llm import bpe, exact_dedup, mixing, near_dedup, perplexity, quality, token_counts, urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -61,8 +61,13 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of each document, and how they split by characters."""
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_round_trip, op2_mix_sources, op3_quality, op5_exact_dedup, op6_quality_rules, op8_near_dedup, op9_url_rules)
+    f.__name__: f for f in (op1_bpe_round_trip, op2_mix_sources, op3_quality, op5_exact_dedup, op6_quality_rules, op8_near_dedup, op9_url_rules, op10_token_counts)
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
