@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from jangbu.llm import bpe, exact_dedup, mixing, near_dedup, perplexity, quality, token_counts, urls
+from jangbu.llm import bpe, exact_dedup, mixing, near_dedup, perplexity, quality, repeats, token_counts, urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -31,6 +31,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document in strings of 200 bytes that also start elsewhere, and what is left without them."""
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, the row with the largest doc_id stays."""
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
@@ -67,7 +72,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_round_trip, op2_mix_sources, op3_quality, op5_exact_dedup, op6_quality_rules, op8_near_dedup, op9_url_rules, op10_token_counts)
+    f.__name__: f for f in (op1_bpe_round_trip, op2_mix_sources, op3_quality, op4_repeated_strings, op5_exact_dedup, op6_quality_rules, op8_near_dedup, op9_url_rules, op10_token_counts)
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
