@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from jangbu.llm import bpe, exact_dedup, mixing, near_dedup, perplexity, quality, repeats, token_counts, urls
+from jangbu.llm import bpe, exact_dedup, language, mixing, near_dedup, perplexity, quality, repeats, token_counts, urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -46,6 +46,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.rules(_table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document by a conditional random field, learned from three quarters of the documents."""
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose shingle sets are at least 0.85 alike; the smallest doc_id of each stays."""
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -72,7 +77,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_round_trip, op2_mix_sources, op3_quality, op4_repeated_strings, op5_exact_dedup, op6_quality_rules, op8_near_dedup, op9_url_rules, op10_token_counts)
+    f.__name__: f for f in (op1_bpe_round_trip, op2_mix_sources, op3_quality, op4_repeated_strings, op5_exact_dedup, op6_quality_rules, op7_language, op8_near_dedup, op9_url_rules, op10_token_counts)
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"

@@ -323,6 +323,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     return told.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
 
 
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of `docs`, with all columns, without those that are not kept."""
+    gone = near_duplicates(docs, text, key).where("not kept").select(F.col(key).alias("_gone")).distinct()
+    return docs.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+
+
 def _still_apart(shared: DataFrame, reached: DataFrame) -> DataFrame:
     """Rows (bucket, node, component) of buckets with several components; of buckets with equal members one is enough."""
     known = shared.join(reached, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))

@@ -137,3 +137,29 @@ def score(
     )
     found = stats.select(key, away.alias("held_out"), "statistics").mapInArrow(scored, schema)
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = THRESHOLD,
+    text: str = "text",
+    key: str = "doc_id",
+    held_out_of: int = 5,
+    fit_rows: int = FIT_ROWS,
+) -> DataFrame:
+    """The rows of `docs`, with all columns, whose score reaches the threshold.
+
+    Each row is judged by its own text where it stands, so no text is moved and repeated keys do not matter.
+    """
+    labelled = docs.join(labels.select(F.col(key).alias("_labelled")).distinct(), F.col(key) == F.col("_labelled"), "left_semi")
+    stats = settle(described(labelled, text, key), "labelled_statistics")
+    away = F.coalesce(fold(key, held_out_of) == 0, F.lit(False))
+    forest = learned(stats.where(~away), labels, key=key, fit_rows=fit_rows)
+    place = docs.columns.index(text)
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches, place):
+            yield batch.filter(pa.array(forest.scores(statistics(Texts.of(batch.column(place)))) >= threshold))
+
+    return docs.mapInArrow(good, docs.schema)
