@@ -324,9 +324,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of `docs`, with all columns, without those that are not kept."""
+    """The rows of `docs`, with all columns, without those that are not kept; rows without a key stay."""
     gone = near_duplicates(docs, text, key).where("not kept").select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
 
 
 def _still_apart(shared: DataFrame, reached: DataFrame) -> DataFrame:

@@ -103,8 +103,8 @@ def learned(stats: DataFrame, labels: DataFrame, label: str = "quality", key: st
         .limit(fit_rows)
         .toArrow()
     )
-    values = np.array(sample.column("statistics").to_pylist(), np.float32).reshape(sample.num_rows, -1)
-    return boosting.fit(values, sample.column("_label").to_numpy())
+    values = np.array(sample.column("statistics").to_pylist(), np.float32)
+    return boosting.fit(values.reshape(sample.num_rows, values.shape[-1] if sample.num_rows else 0), sample.column("_label").to_numpy())
 
 
 def score(
