@@ -245,8 +245,12 @@ def learned(docs: DataFrame, fold_of: int, away: int, text: str = "text", lang:
     """A model of the languages in `lang`, from a hashed sample of the rows outside the fold `away`."""
     known = docs.where(F.col(lang).isNotNull() & ~F.coalesce(fold(key, fold_of) == away, F.lit(False)) & F.col(text).isNotNull())
     known = known.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.pmod(F.xxhash64(F.col(key), F.lit("fit")), F.lit(1 << 30)).alias("h"))
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).select(F.col("lang").alias("of_lang"), "n")
-    chosen = known.join(counts, F.col("lang") == F.col("of_lang")).where(F.col("h") * F.col("n") < FIT_TEXTS * (1 << 30))
+    # One number a language, as the model has; with it rows are chosen where they stand.
+    limits = [(r["lang"], FIT_TEXTS * (1 << 30) // r["n"]) for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()]
+    if not limits:
+        return fit([])
+    limit = F.create_map(*[F.lit(x) for pair in limits for x in pair])[F.col("lang")]
+    chosen = known.where(F.col("h") < limit)
     # A run of words is cut out on the executors, so that long texts do not come to the driver.
     words = F.regexp_extract_all("text", F.lit(r"\S+"), F.lit(0))
     cut = F.pmod(F.col("h"), F.greatest(F.size("words") - 3 * FIT_WORDS + 1, F.lit(1))).cast("int") + 1
