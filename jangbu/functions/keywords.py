@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 from jangbu import rules
 from jangbu.functions.text import base_name
 
-# Above this many words one compiled alternation is cheaper than a chain of contains().
-_CHAIN_LIMIT = 50
-
-
 def contains(col: Column, word: str) -> Column:
     """Literal containment; a missing text contains nothing."""
     return F.coalesce(col.contains(word), F.lit(False))
@@ -29,8 +25,6 @@ def has_any(col: Column, words) -> Column:
     words = list(words)
     if not words:
         return F.lit(False)
-    if len(words) > _CHAIN_LIMIT:
-        return col.rlike("|".join(re.escape(w) for w in words))
     return reduce(or_, (col.contains(w) for w in words))
 
 
@@ -39,7 +33,10 @@ def contains_any(col: Column, words) -> Column:
 
 
 def matches_any(col: Column, words) -> Column:
-    """The same test written as one pattern of alternatives."""
+    """The same test written as one pattern of alternatives; no words match nothing."""
+    words = list(words)
+    if not words:
+        return F.lit(False)
     return F.coalesce(col.rlike("|".join(re.escape(w) for w in words)), F.lit(False))
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jangbu import rules
-from jangbu.operators.lookup import lookup_join
 from jangbu.operators.quantiles import approx_group_quartiles, frequencies, group_quartiles
 from jangbu.session import settle
 
@@ -30,7 +29,7 @@ def within(price: str = "price"):
 
 
 def apply_fences(df: DataFrame, bounds: DataFrame, keys: list[str], price: str = "price") -> DataFrame:
-    joined = lookup_join(df, bounds, keys, "inner", "n_values")
+    joined = df.join(bounds.drop("n_values"), keys)
     return joined.filter(within(price)).select(*df.columns)
 
 
@@ -52,7 +51,7 @@ def removed_counts(df: DataFrame, keys: list[str], price: str = "price") -> Data
     bounds = exact_fences(counts, keys, price, "n")
     inside = F.coalesce(within(price), F.lit(False))
     return (
-        lookup_join(counts, bounds, keys, "left", "n_values")
+        counts.join(bounds, keys, "left")
         .groupBy(*keys)
         .agg(
             F.sum("n").alias("n_rows"),

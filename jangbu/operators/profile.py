@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from jangbu import rules
 from jangbu.operators.columns import quoted
-from jangbu.operators.lookup import lookup_join
 from jangbu.operators.outliers import exact_fences, within
 from jangbu.operators.quantiles import exact_quantiles, frequencies
 from jangbu.session import settle
@@ -85,7 +84,7 @@ def _weighted_summary(freq: DataFrame, keys: list[str], value: str, n: str) -> D
         "means",
     )
     squares = (
-        lookup_join(present, means.select(*keys, "mean", "count"), keys, "inner", "count")
+        present.join(means.select(*keys, "mean"), keys)
         .groupBy(*keys)
         .agg(F.sum(F.col(n) * F.pow(F.col(value) - F.col("mean"), 2)).alias("_squares"))
     )
@@ -108,7 +107,7 @@ def price_summary(df: DataFrame, category: str = "category", item: str = "item_n
     bounds = exact_fences(counts, keys, price, "n")
     stages = F.array_compact(F.array(F.lit("before"), F.when(within(price), F.lit("after"))))
     staged = (
-        lookup_join(counts, bounds, keys, "left", "n_values")
+        counts.join(bounds, keys, "left")
         .select(category, F.explode(stages).alias("stage"), price, "n")
         .groupBy(category, "stage", price)
         .agg(F.sum("n").alias("n"))

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jangbu import rules
-from jangbu.operators.lookup import lookup_join
-from jangbu.operators.quantiles import approx_group_median, frequencies, group_median
+from jangbu.operators.quantiles import approx_group_median, group_median
 from jangbu.session import settle
 
 
@@ -15,20 +14,12 @@ def _ratio(df: DataFrame) -> DataFrame:
     return df.withColumn("zero_ratio", F.coalesce(F.try_divide(F.col("zero_count") * 100.0, F.col("total_count")), F.lit(0.0)))
 
 
-def zero_ratio(df: DataFrame, item: str = "item_name", price: str = "price", weight: str | None = None) -> DataFrame:
+def zero_ratio(df: DataFrame, item: str = "item_name", price: str = "price") -> DataFrame:
     """Per item: rows with a price, rows with price 0, their ratio in percent (0 for items without zeros)."""
-    n = F.lit(1) if weight is None else F.col(weight)
-
-    def rows_where(condition):
-        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
-
     return _ratio(
         df.na.drop(subset=[item])
         .groupBy(item)
-        .agg(
-            rows_where(F.col(price).isNotNull()).alias("total_count"),
-            rows_where(F.col(price) == 0).alias("zero_count"),
-        )
+        .agg(F.count(price).alias("total_count"), F.count_if(F.col(price) == 0).alias("zero_count"))
     )
 
 
@@ -50,12 +41,12 @@ def zero_band(ratios: DataFrame, limit: float = rules.ZERO_RATIO_LIMIT) -> DataF
 
 def low_zero_rows(df: DataFrame, bands: DataFrame, item: str = "item_name") -> DataFrame:
     """Rows of low-band items (`bands` settled)."""
-    return lookup_join(df, bands.filter("band = 'low'").select(item, "total_count"), [item], "left_semi", "total_count")
+    return df.join(bands.filter("band = 'low'").select(item), [item], "left_semi")
 
 
 def drop_high_zero_items(df: DataFrame, bands: DataFrame, item: str = "item_name") -> DataFrame:
     """Rows of all but the high-band items (`bands` settled); rows without an item name stay."""
-    return lookup_join(df, bands.filter("band = 'high'").select(item, "total_count"), [item], "left_anti", "total_count")
+    return df.join(bands.filter("band = 'high'").select(item), [item], "left_anti")
 
 
 def repair_zeros(
@@ -68,16 +59,13 @@ def repair_zeros(
 ) -> DataFrame:
     """Impute the zeros of low-band items by the (item, year) median and drop high-band items.
 
-    The rows are reduced once to (item, year, price) counts; ratios and medians both come from these. The
-    medians include the zeros and may be 0 themselves. Without a median (missing year) the zero stays.
+    The ratios are one row an item, summed before any shuffle; only rows of low-band items are counted for the
+    medians. These include the zeros and may be 0 themselves. Without a median (missing year) the zero stays.
     """
-    counts = settle(frequencies(df, [item, year], price), "price_counts")
-    bands = settle(zero_band(zero_ratio(counts, item, price, "n"), limit), "zero_bands")
-    low = low_zero_rows(counts, bands, item)
-    medians = group_median(low, [item, year], price, "_median", "n").withColumnRenamed("n_values", "_weight")
-    medians = settle(medians, "medians")
+    bands = settle(zero_band(zero_ratio(df, item, price), limit), "zero_bands")
+    medians = settle(group_median(low_zero_rows(df, bands, item), [item, year], price, "_median").drop("n_values"), "medians")
     kept = drop_high_zero_items(df, bands, item) if drop_high else df
-    joined = lookup_join(kept, medians, [item, year], "left", "_weight")
+    joined = kept.join(medians, [item, year], "left")
     filled = F.when(F.col(price) == 0, F.coalesce(F.col("_median"), F.col(price))).otherwise(F.col(price))
     return joined.withColumn(price, filled).select(*df.columns)
 
@@ -97,7 +85,7 @@ def repair_zeros_monthly_approx(
     bands = settle(zero_band(zero_ratio_inner(df, item, price), limit), "zero_bands")
     low = low_zero_rows(df, bands, item)
     medians = approx_group_median(low, [item, month_key], price, name="_median")
-    medians = settle(medians.withColumnRenamed("n_values", "_weight"), "medians")
+    medians = settle(medians.drop("n_values"), "medians")
     kept = drop_high_zero_items(df.na.drop(subset=[item]), bands, item)
-    joined = lookup_join(kept, medians, [item, month_key], "left", "_weight")
+    joined = kept.join(medians, [item, month_key], "left")
     return joined.withColumn(price, F.when(F.col(price) == 0, F.col("_median")).otherwise(F.col(price))).select(*df.columns)

@@ -1,8 +1,9 @@
 """Exact and approximate group quantiles.
 
-The built-in exact `percentile` keeps every distinct value of a group in one task. Here values are counted
-first, which spreads a hot group over its values. Few counted rows (they are counted) go to the built-in; beyond
-that a group stays spread: counts are summed per value range, and only ranges with a wanted rank are sorted.
+The built-in exact `percentile` keeps every distinct value of a group in one task. Here values are counted first and placed
+in order over the tasks, whatever the groups: a hot group, or a narrow range with many values, spreads over
+many of them. Sums per task and group tell where the wanted ranks lie, and only rows from there are ranked. There is one way for
+all sizes and all doubles; NaN is above every number.
 """
 
 from __future__ import annotations
@@ -10,77 +11,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jangbu.operators.lookup import lookup_join
 from jangbu.session import settle
 
-# Most counted (keys, value) rows that the built-in percentile may hold, even if all are of one group.
-HASH_ROWS = 2_000_000
-# Value ranges keep this many leading decimal digits: at most 900 ranges per power of ten and sign.
-_RANGE_DIGITS = 3
-
 
 def frequencies(df: DataFrame, keys: list[str], value: str, weight: str = "n") -> DataFrame:
     """Rows per (keys, value). Counted before the shuffle, and a hot key is spread over its values."""
     return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(weight))
 
 
-def _value_range(value: Column) -> Column:
-    """Integer that never decreases as the value grows: sign, decimal exponent, leading digits."""
-    size = F.abs(value)
-    exponent = F.floor(F.log10(size))
-    lead = F.floor(size / F.pow(F.lit(10.0), exponent - (_RANGE_DIGITS - 1)))
-    code = (exponent + 400) * 10 ** (_RANGE_DIGITS + 1) + lead
-    return F.when(value == 0, F.lit(0).cast("bigint")).when(value > 0, code).otherwise(-code)
-
-
 def exact_quantiles(
     df: DataFrame,
     keys: list[str],
     value: str,
     probs: dict[str, float],
     weight: str | None = None,
-    hash_rows: int = HASH_ROWS,
 ) -> DataFrame:
     """Quantiles with linear interpolation per group, one column per entry of `probs`, plus `n_values`.
 
-    `weight` names the count column when `df` already holds settled frequencies; otherwise they are made first.
+    `weight` names the count column when `df` already holds frequencies; otherwise they are made first.
     Missing keys and values are left out.
     """
+    present = df.na.drop(subset=[*keys]).filter(F.col(value).isNotNull())
     if weight is None:
-        df, weight = settle(frequencies(df.na.drop(subset=[*keys, value]), keys, value), "value_counts"), "n"
-    else:
-        df = df.na.drop(subset=[*keys, value])
-    way = _by_hash if df.count() <= hash_rows else _by_ranges
-    return way(df, keys, value, probs, weight)
-
-
-def _by_hash(freq: DataFrame, keys: list[str], value: str, probs: dict[str, float], weight: str) -> DataFrame:
-    """The built-in percentile over counted values; its state is at most the counted rows."""
-    quantiles = F.percentile(value, [float(p) for p in probs.values()], F.col(weight))
-    return (
-        freq.groupBy(*keys)
-        .agg(quantiles.alias("_q"), F.sum(weight).alias("n_values"))
-        .select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)], "n_values")
-    )
-
-
-def _by_ranges(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], weight: str) -> DataFrame:
-    """Sum the counts per value range and sort only inside ranges that hold a wanted rank."""
-    freq = df.select(
-        *keys,
-        F.col(value).cast("double").alias("_v"),
-        _value_range(F.col(value).cast("double")).alias("_range"),
-        F.col(weight).alias("_n"),
-    )
-
-    # Rank interval of every range; only ranges that hold a wanted rank go on.
-    by_range = Window.partitionBy(*keys).orderBy("_range")
-    whole = Window.partitionBy(*keys)
-    ranges = (
-        freq.groupBy(*keys, "_range")
+        present, weight = frequencies(present, keys, value), "n"
+    counted = present.select(*keys, F.col(value).cast("double").alias("_v"), F.col(weight).alias("_n"))
+    placed = settle(counted.repartitionByRange(*keys, "_v").withColumn("_part", F.spark_partition_id()), "placed_counts")
+
+    # Ranks held by each part of a group: at most one row for each group and task.
+    in_order = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    parts = (
+        placed.groupBy(*keys, "_part")
         .agg(F.sum("_n").alias("_n"))
-        .withColumn("_end", F.sum("_n").over(by_range.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_total", F.sum("_n").over(whole))
+        .withColumn("_end", F.sum("_n").over(in_order))
+        .withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
     )
     position = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in probs.items()}
     wanted = F.array(
@@ -94,18 +57,16 @@ def _by_ranges(df: DataFrame, keys: list[str], value: str, probs: dict[str, floa
     def inside(end: str, n: str):
         return lambda w: (w["rank"] < F.col(end)) & (w["rank"] >= F.col(end) - F.col(n))
 
-    ranges = (
-        ranges.withColumn("_wanted", F.filter(wanted, inside("_end", "_n")))
+    chosen = (
+        parts.withColumn("_wanted", F.filter(wanted, inside("_end", "_n")))
         .filter(F.size("_wanted") > 0)
-        .select(*keys, "_range", "_total", "_wanted", (F.col("_end") - F.col("_n")).alias("_start"))
+        .select(*keys, "_part", "_total", "_wanted", (F.col("_end") - F.col("_n")).alias("_start"))
     )
-    # Settled, so that the few chosen ranges thin out the counts before these are shuffled and sorted.
-    ranges = settle(ranges, "rank_ranges")
 
-    # Sort inside the chosen ranges and pick the ranked values.
-    by_value = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    # Rank inside the chosen parts; none holds more than one task was given.
+    by_value = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     picked = (
-        lookup_join(freq, ranges, [*keys, "_range"], "inner")
+        placed.join(chosen, [*keys, "_part"])
         .withColumn("_end", F.col("_start") + F.sum("_n").over(by_value))
         .withColumn("_hits", F.filter("_wanted", inside("_end", "_n")))
         .filter(F.size("_hits") > 0)
@@ -121,7 +82,9 @@ def _by_ranges(df: DataFrame, keys: list[str], value: str, probs: dict[str, floa
 
     def interpolated(name: str) -> Column:
         lo, hi, pos = F.col(f"`{name}/lo`"), F.col(f"`{name}/hi`"), position[name]
-        return (lo + (hi - lo) * (pos - F.floor(pos))).alias(name)
+        share = pos - F.floor(pos)
+        # Between equal values, or on one, nothing is computed: infinities stay what they are.
+        return F.when((lo == hi) | (share == 0), lo).otherwise(lo + (hi - lo) * share).alias(name)
 
     return slots.select(*keys, *[interpolated(name) for name in probs], F.col("_total").alias("n_values"))
 

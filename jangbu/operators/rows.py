@@ -40,7 +40,7 @@ def titles_including_excluding(
     return df.filter(keywords.has_any(col, include)).filter(~keywords.has_any(col, exclude))
 
 
-def with_prefix(df: DataFrame, column: str, prefix: str = rules.API_DATE_PREFIX) -> DataFrame:
+def with_prefix(df: DataFrame, column: str, prefix: str) -> DataFrame:
     return df.filter(F.col(column).startswith(prefix))
 
 

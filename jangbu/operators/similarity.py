@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jangbu import rules
-from jangbu.operators.lookup import lookup_join
 from jangbu.session import settle
 
 # Words of two or more letters, digits or underscores.
@@ -62,10 +61,10 @@ def _weighted(counts: DataFrame, idf: DataFrame, once: Column, needed: Column |
     """Weight of every (text, gram).
 
     Most grams occur in one text only and share one idf, so only the others are joined (and the `needed`, which
-    bring more columns). A gram may occur in most texts; the lookup joins such grams apart from the rest.
+    bring more columns). A gram may occur in most texts; adaptive execution splits such a side of the join.
     """
     kept = (F.col("df") > 1) | (F.col("gram") == _EVERY_TEXT)
-    found = lookup_join(counts, idf.filter(kept if needed is None else kept | needed), ["gram"], "left", "df")
+    found = counts.join(idf.filter(kept if needed is None else kept | needed), ["gram"], "left")
     return found.withColumn("weight", F.col("tf") * F.coalesce("idf", once))
 
 
@@ -77,8 +76,9 @@ def tfidf_weights(df: DataFrame, key: str, text: str) -> DataFrame:
     """Rows (key, gram, weight), the weights of a text having length 1."""
     counts = settle(gram_counts(df, key, text), "gram_counts")
     raw = _weighted(counts, *inverse_frequencies(counts)).filter(F.col("gram") != _EVERY_TEXT)
-    norms = raw.groupBy(key).agg(_length().alias("_norm"))
-    return raw.join(norms, key).select(key, "gram", (F.col("weight") / F.col("_norm")).alias("weight"))
+    # A window by text: the weights are computed once, and a text has no more rows than words and pairs.
+    squares = F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(key))
+    return raw.select(key, "gram", (F.col("weight") / F.sqrt(squares)).alias("weight"))
 
 
 def _target_columns(idf: DataFrame, targets: list[str]) -> DataFrame:

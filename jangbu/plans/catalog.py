@@ -63,11 +63,22 @@ def scan_csv(spark, folder):
 def scan_csv_inferred(spark, folder):
     path = scratch_path(spark, "scan_csv_inferred")
     part = samples.table(spark, folder, "part")
-    sinks.write_csv(part.select("p_partkey", "p_name", "p_retailprice", "p_brand"), path)
+    sinks.write_csv(part, path)
     inferred = tables.read_csv_inferred(spark, path)
     return inferred.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
 
 
+@query
+def scan_by_name(spark, folder):
+    """Columns in another order, one of them unknown, cells with quotes, separators and line breaks."""
+    raw = samples.survey_raw(spark, folder).withColumn("remark", F.concat(F.lit('a "'), "remark", F.lit('",\nend')))
+    path = scratch_path(spark, "scan_by_name")
+    headers = {v: k for k, v in schema.SURVEY_HEADERS.items()}
+    written = [*reversed(raw.columns[1:]), "unknown", "id"]
+    sinks.write_csv(raw.withColumn("unknown", F.lit("x")).select(*written).withColumnsRenamed(headers), path)
+    return tables.read_csv(spark, path, raw.schema, multi_line=True)
+
+
 def _written_shops(spark, folder, base, dialects):
     names = ["name", "nation", "balance"]
     paths = []
@@ -374,7 +385,7 @@ def _total_order(df: DataFrame, first: str) -> list[str]:
 @query
 def head_slice(spark, folder):
     df = samples.survey(spark, folder)
-    return rows.drop_tail(df, rules.TAIL_ROWS, _total_order(df, "id"))
+    return rows.drop_tail(df, samples.TAIL_ROWS, _total_order(df, "id"))
 
 
 @query
@@ -445,7 +456,9 @@ def item_year_median(spark, folder):
 
 @query
 def item_month_median_approx(spark, folder):
-    return quantiles.approx_group_median(samples.survey(spark, folder), ["item_name", "year_month"], "price")
+    """Whether each approximate median lies within its rank error."""
+    survey, keys = samples.survey(spark, folder), ["item_name", "year_month"]
+    return _rank_checked(survey, quantiles.approx_group_median(survey, keys, "price"), keys, {"median": 0.5}, 1e-4)
 
 
 @query
@@ -469,8 +482,29 @@ def item_quartiles(spark, folder):
 
 @query
 def group_quartiles_approx(spark, folder):
+    """Whether each approximate quartile lies within its rank error, by ranks counted over all rows."""
     grouped = rows.explode_groups(samples.survey(spark, folder), groups=samples.ITEM_GROUPS)
-    return quantiles.approx_group_quartiles(grouped, ["item_group"], "price", rules.QUARTILE_ERROR)
+    sketch = quantiles.approx_group_quartiles(grouped, ["item_group"], "price", rules.QUARTILE_ERROR)
+    return _rank_checked(grouped, sketch, ["item_group"], {"q1": 0.25, "q3": 0.75}, rules.QUARTILE_ERROR)
+
+
+def _rank_checked(df: DataFrame, sketch: DataFrame, keys: list[str], probs: dict[str, float], error: float) -> DataFrame:
+    """Keys, `n_values`, and per quantile whether the rows below and up to it embrace the wanted share, give or take `error`."""
+    joined = df.filter(F.col("price").isNotNull()).join(sketch, keys)
+    counts = [
+        f(F.col("price"), F.col(name)).alias(f"{side}_{name}")
+        for name in probs
+        for side, f in (("below", lambda p, q: F.count_if(p < q)), ("upto", lambda p, q: F.count_if(p <= q)))
+    ]
+    counted = joined.groupBy(*keys, "n_values").agg(*counts)
+    near = [
+        (
+            (F.col(f"below_{name}") <= (p + error) * F.col("n_values") + 1)
+            & (F.col(f"upto_{name}") >= (p - error) * F.col("n_values") - 1)
+        ).alias(f"{name}_near")
+        for name, p in probs.items()
+    ]
+    return counted.select(*keys, "n_values", *near)
 
 
 @query
@@ -479,7 +513,13 @@ def iqr_by_item(spark, folder):
 
 
 def _item_rows(spark, folder, approximate=False):
-    return plan.item_rows(samples.survey(spark, folder), samples.ITEM_GROUPS, samples.UNIT_FIXES, approximate)
+    survey = samples.survey(spark, folder)
+    return plan.item_rows(survey, samples.ITEM_GROUPS, samples.UNIT_FIXES, approximate, samples.ITEM_CATEGORIES)
+
+
+def _grouped_items(spark, folder):
+    survey = samples.survey(spark, folder)
+    return plan.grouped_items(survey, samples.ITEM_GROUPS, samples.UNIT_FIXES, samples.ITEM_CATEGORIES)
 
 
 @query
@@ -489,13 +529,31 @@ def iqr_by_group(spark, folder):
 
 @query
 def iqr_by_group_approx(spark, folder):
-    return _item_rows(spark, folder, approximate=True)
+    """Per group: rows, and whether the kept ones number between those inside the tightest and the widest fences.
+
+    A quartile off by its rank error lies between the exact quantiles of the shares around it.
+    """
+    every = _grouped_items(spark, folder)
+    kept = profile.value_counts(_item_rows(spark, folder, approximate=True), ["item_group"]).withColumnRenamed("n_rows", "kept")
+    e = rules.QUARTILE_ERROR + 0.01
+    around = quantiles.exact_quantiles(
+        every, ["item_group"], "price", {"q1_low": 0.25 - e, "q1_high": 0.25 + e, "q3_low": 0.75 - e, "q3_high": 0.75 + e}
+    ).drop("n_values")
+
+    def inside(q1: str, q3: str):
+        reach = (F.col(q3) - F.col(q1)) * rules.FENCE_FACTOR
+        return F.count_if(F.col("price").between(F.col(q1) - reach, F.col(q3) + reach))
+
+    counted = every.join(around, "item_group").groupBy("item_group").agg(
+        F.count(F.lit(1)).alias("n_rows"), inside("q1_high", "q3_low").alias("least"), inside("q1_low", "q3_high").alias("most")
+    )
+    near = F.col("kept").between(F.col("least"), F.col("most")) & (F.col("kept") < F.col("n_rows"))
+    return counted.join(kept, "item_group").select("item_group", "n_rows", near.alias("kept_near"))
 
 
 @query
 def iqr_removed_counts(spark, folder):
-    grouped = rows.explode_groups(samples.survey(spark, folder), groups=samples.ITEM_GROUPS)
-    return outliers.removed_counts(columns.fix_units(grouped, samples.UNIT_FIXES), ["item_group"])
+    return outliers.removed_counts(_grouped_items(spark, folder), ["item_group"])
 
 
 # Volatility ----------------------------------------------------------------------------------------------
@@ -513,7 +571,16 @@ def _volatility(level: str, clean: bool = False, zero_cv: bool = False) -> Query
 
 vol_district = _volatility("district")
 QUERIES["vol_district"] = vol_district
-QUERIES["vol_district_cv0"] = _volatility("district", zero_cv=True)
+
+
+@query
+def vol_district_cv0(spark, folder):
+    """One district has only zero prices, so that its mean is 0."""
+    free = F.when(F.col("district_name") == "NATION_8", 0.0).otherwise(F.col("price"))
+    df = samples.survey(spark, folder).withColumn("price", free)
+    return shown(vol.volatility(df, vol.LEVELS["district"], zero_cv=True))
+
+
 QUERIES["vol_district_year"] = _volatility("district_year")
 QUERIES["vol_district_month"] = _volatility("district_month")
 QUERIES["vol_category_year"] = _volatility("category_year")
@@ -572,10 +639,19 @@ def price_quality(spark, folder):
 
 @query
 def row_counts(spark, folder):
+    """All logged stages; those that only filter rows are counted together, in one scan."""
     raw = samples.survey_raw(spark, folder)
-    stages = {"raw": raw, "with_year_month": raw.na.drop(subset=["year_month"]), "clean": plan.clean(raw)}
+    dated = F.col("year_month").isNotNull()
+    filtered = raw.agg(
+        F.count(F.lit(1)).alias("raw"),
+        F.count_if(dated).alias("with_year_month"),
+        F.count_if(dated & ~F.lower("year_month").isin("nan", "") & F.col("item_name").isNotNull()).alias("clean"),
+    ).select(F.stack(F.lit(3), *[x for c in ("raw", "with_year_month", "clean") for x in (F.lit(c), F.col(c))]).alias("stage", "n_rows"))
+    ready = plan.stored(prepared(spark, folder))
+    priced = plan.stored(rows.drop_zero(ready))
+    later = {"without_high_zero_items": ready, "without_zeros": priced, "inside_fences": plan.without_outliers(priced)}
     return rows.union_by_position(
-        *[profile.row_count(df).select(F.lit(name).alias("stage"), "n_rows") for name, df in stages.items()]
+        filtered, *[profile.row_count(df).select(F.lit(name).alias("stage"), "n_rows") for name, df in later.items()]
     )
 
 
@@ -594,7 +670,7 @@ def price_summary(spark, folder):
 @query
 def describe_all(spark, folder):
     df = samples.survey(spark, folder)
-    return shown(profile.describe_all(df, ["market_name", "item_name", "sales_unit", "year_month", "year", "price"]))
+    return shown(profile.describe_all(df, df.columns))
 
 
 @query
@@ -629,7 +705,8 @@ def items_by_category(spark, folder):
 @query
 def item_profile(spark, folder):
     df = samples.survey(spark, folder)
-    chosen = df.filter(keywords.matches_any(F.col("item_name"), samples.PROFILE_ITEMS))
+    chosen = df.filter(F.col("category").isin(*samples.ITEM_CATEGORIES))
+    chosen = chosen.filter(keywords.matches_any(F.col("item_name"), samples.PROFILE_ITEMS))
     return shown(profile.item_profile(chosen))
 
 
@@ -668,13 +745,11 @@ def survey_report(spark, folder):
 @query
 def survey_report_clean(spark, folder):
     ready = plan.stored(prepared(spark, folder))
-    return shown(plan.volatility_report(ready, drop_outliers=True, levels=_REPORT_LEVELS))
+    return shown(plan.volatility_report(ready, drop_outliers=True))
 
 
 @query
 def item_report(spark, folder):
     ready = plan.stored(prepared(spark, folder))
-    return shown(plan.item_report(ready, groups=samples.ITEM_GROUPS, fixes=[("old bolt(Brand#1) 1ea", 2, "1ea")]))
-
-
-_REPORT_LEVELS = {k: vol.LEVELS[k] for k in ("category_year", "category_month")}
+    fixes, categories = [("old bolt(Brand#1) 1ea", 2, "1ea")], samples.ASSIGNED_CATEGORIES
+    return shown(plan.item_report(ready, groups=samples.ITEM_GROUPS, fixes=fixes, categories=categories))

@@ -10,7 +10,8 @@ survey AS (
          concat(CAST(year(l_shipdate) AS VARCHAR), '-', lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0')) AS year_month,
          CASE WHEN l_discount < CASE WHEN p_name LIKE '%bolt' THEN 0.035 WHEN p_name LIKE 'hot%' THEN 0.015
                                      ELSE -1.0 END
-              THEN CAST(0 AS DOUBLE) ELSE l_extendedprice END AS price
+              THEN CAST(0 AS DOUBLE) WHEN (l_orderkey * 10 + l_linenumber) % 83 = 5 THEN l_extendedprice * 40
+              ELSE l_extendedprice END AS price
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey
 )"""
@@ -115,7 +116,7 @@ grouped AS (
 fixed_units AS (
   SELECT * REPLACE (CASE WHEN item_name = 'old bolt' THEN price / 2 ELSE price END AS price,
                     CASE WHEN item_name = 'old bolt' THEN '1ea' ELSE sales_unit END AS sales_unit)
-  FROM grouped
+  FROM grouped WHERE category IN ('ECONOMY', 'STANDARD', 'PROMO')
 )"""
 )
 GROUP_ROWS = GROUPED + _kept("fixed_units", "item_group", "group_rows")
@@ -157,7 +158,6 @@ _LEVELS = {
     "category_district_year": ["category", "district_name", "year"],
     "category_district_month": ["category", "district_name", "month"],
 }
-_CLEAN_LEVELS = {k: _LEVELS[k] for k in ("category_year", "category_month")}
 _ITEM_LEVELS = {"item_year": ["item_group", "year"], "item_month": ["item_group", "month"]}
 
 _RATIO = _round("coalesce(100.0 * count(*) FILTER (WHERE price = 0) / nullif({total}, 0), 0)", 6) + " AS zero_ratio"
@@ -282,7 +282,10 @@ _CUT = """split_part(remark, '";', 1)"""
 ORACLES: dict[str, str] = {
     # sources
     "scan_csv": f"WITH {RAW} SELECT {_all_raw(remark=_NO_EMPTY)} FROM raw",
-    "scan_csv_inferred": "SELECT p_partkey, p_name, p_retailprice, p_brand FROM part",
+    "scan_by_name": f"WITH {RAW} SELECT "
+    + _all_raw(remark="concat('a \"', remark, '\",', chr(10), 'end')")
+    + " FROM raw",
+    "scan_csv_inferred": "SELECT * FROM part",
     "scan_dialects": _SHOP_TEXTS.format(c="", s=""),
     "scan_many": _SHOP_TEXTS.format(c=", 'customer' AS source", s=", 'supplier'"),
     "scan_missing_ok": _SHOP_TEXTS.format(c="", s=""),
@@ -356,7 +359,7 @@ round_even(stddev_samp(price) / nullif(avg(price), 0), 2) AS cv FROM survey GROU
 SELECT * FROM typed WHERE price IS DISTINCT FROM 0""",
     "head_slice": f"""WITH {SURVEY}, numbered AS (
   SELECT *, row_number() OVER (ORDER BY {_SURVEY_ORDER}) AS rn, count(*) OVER () AS n FROM survey)
-SELECT * EXCLUDE (rn, n) FROM numbered WHERE rn <= n - 8352""",
+SELECT * EXCLUDE (rn, n) FROM numbered WHERE rn <= n - 500""",
     "preview_top_n": f"WITH {SURVEY} SELECT * FROM survey ORDER BY {_SURVEY_ORDER} LIMIT 10",
     "preview_last_n": f"WITH {SURVEY} SELECT * FROM survey ORDER BY "
     + ", ".join(f"{c} DESC" for c in _SURVEY_ORDER.split(", "))
@@ -375,8 +378,8 @@ FROM customer UNION ALL SELECT NULL, {_SUPPLIERS}, NULL, s_suppkey FROM supplier
     "drop_high_zero_items": f"WITH {_BANDS} SELECT survey.* FROM survey ANTI JOIN (SELECT * FROM bands WHERE band = 'high') b USING (item_name)",
     "item_year_median": f"WITH {SURVEY} SELECT item_name, year, {_round('median(price)')} AS median, count(price) AS n_values "
     "FROM survey GROUP BY item_name, year",
-    "item_month_median_approx": f"WITH {SURVEY} SELECT item_name, year_month, quantile_disc(price, 0.5) AS median, "
-    "count(price) AS n_values FROM survey GROUP BY item_name, year_month",
+    "item_month_median_approx": f"WITH {SURVEY} SELECT item_name, year_month, count(price) AS n_values, true AS median_near "
+    "FROM survey GROUP BY item_name, year_month",
     "impute_zero_year_median": f"WITH {SURVEY}{_repaired('survey', 's')} "
     f"SELECT * EXCLUDE (r) REPLACE ({_round('price')} AS price) FROM sfixed",
     "impute_zero_month_approx": f"""WITH {SURVEY}{_repaired('survey', 's')},
@@ -387,6 +390,10 @@ FROM survey s JOIN sratio USING (item_name) JOIN month_med m USING (item_name, y
     "item_quartiles": f"""WITH {SURVEY} SELECT category, item_name, {_round("quantile_cont(price, 0.25)")} AS q1,
 {_round("quantile_cont(price, 0.75)")} AS q3, count(price) AS n_values FROM survey GROUP BY category, item_name""",
     "iqr_by_item": f"WITH {ITEM_ROWS} SELECT * FROM item_rows",
+    "group_quartiles_approx": f"WITH {GROUPED} SELECT item_group, count(price) AS n_values, true AS q1_near, true AS q3_near "
+    "FROM grouped GROUP BY item_group",
+    "iqr_by_group_approx": f"WITH {GROUPED} SELECT item_group, count(*) AS n_rows, true AS kept_near "
+    "FROM fixed_units GROUP BY item_group",
     "iqr_by_group": f"WITH {GROUP_ROWS} SELECT * FROM group_rows",
     "iqr_removed_counts": f"""WITH {GROUP_ROWS},
 kept AS (SELECT item_group, count(*) AS k FROM group_rows GROUP BY item_group)
@@ -394,7 +401,10 @@ SELECT item_group, count(*) AS n_rows, count(*) - any_value(k) AS n_removed
 FROM fixed_units JOIN kept USING (item_group) GROUP BY item_group""",
     # volatility
     "vol_district": _vol(SURVEY, "survey", "district_name"),
-    "vol_district_cv0": _vol(SURVEY, "survey", "district_name", zero_cv=True),
+    "vol_district_cv0": _vol(
+        SURVEY + ", free AS (SELECT * REPLACE (CASE WHEN district_name = 'NATION_8' THEN 0 ELSE price END AS price) FROM survey)",
+        "free", "district_name", zero_cv=True,
+    ),
     "vol_district_year": _vol(SURVEY, "survey", "district_name, year"),
     "vol_district_month": _vol(SURVEY, "survey", "district_name, month"),
     "vol_category_year": _vol(SURVEY, "survey", "category, year"),
@@ -423,9 +433,13 @@ nullif(year_month, 'nan') AS year_month) FROM raw) """
     "price_quality": f"""WITH {RAW}, t AS (SELECT TRY_CAST(price AS DOUBLE) AS price FROM raw)
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE price IS NULL) AS n_null,
 count(*) FILTER (WHERE price = 0) AS n_zero FROM t""",
-    "row_counts": f"""WITH {CLEAN} SELECT 'raw' AS stage, count(*) AS n_rows FROM raw
+    "row_counts": f"""WITH {PREPARED}, priced AS (SELECT * FROM prepared WHERE price IS DISTINCT FROM 0)
+{_kept('priced', 'category, item_name', 'item_rows')} SELECT 'raw' AS stage, count(*) AS n_rows FROM raw
 UNION ALL SELECT 'with_year_month', count(*) FROM raw WHERE year_month IS NOT NULL
-UNION ALL SELECT 'clean', count(*) FROM clean""",
+UNION ALL SELECT 'clean', count(*) FROM clean
+UNION ALL SELECT 'without_high_zero_items', count(*) FROM prepared
+UNION ALL SELECT 'without_zeros', count(*) FROM priced
+UNION ALL SELECT 'inside_fences', count(*) FROM item_rows""",
     "category_counts": f"""WITH {RAW},
 c AS (SELECT {_category('item_name')} AS category, count(*) AS n FROM raw WHERE item_name IS NOT NULL GROUP BY 1)
 SELECT category, n AS n_rows FROM c
@@ -436,9 +450,9 @@ SELECT category, 'before' AS stage, count(price) AS count, {_DESCRIBE} FROM surv
 UNION ALL
 SELECT category, 'after' AS stage, count(price) AS count, {_DESCRIBE} FROM item_rows GROUP BY category""",
     "describe_all": f"WITH {SURVEY} "
-    + " UNION ALL ".join(_describe_text(c) for c in ("market_name", "item_name", "sales_unit", "year_month"))
+    + " UNION ALL ".join(_describe_text(c) for c in ("market_name", "district_name", "category", "item_name", "sales_unit", "remark", "year_month"))
     + " UNION ALL "
-    + " UNION ALL ".join(_describe_number(c) for c in ("year", "price")),
+    + " UNION ALL ".join(_describe_number(c) for c in ("id", "year", "month", "price")),
     "item_value_counts": f"WITH {ITEM_ROWS} SELECT category, item_name, count(*) AS n_rows FROM item_rows "
     "GROUP BY category, item_name",
     "item_year_coverage": f"""WITH {SURVEY} SELECT category, item_name,
@@ -452,7 +466,8 @@ WHERE year BETWEEN 1996 AND 1999 GROUP BY item_group HAVING count(DISTINCT year)
     "items_by_category": f"WITH {SURVEY} SELECT DISTINCT category, item_name FROM survey",
     "item_profile": f"""WITH {SURVEY} SELECT category, item_name, {_mode('sales_unit')}, {_mode('remark')},
 {_round("avg(price)")} AS mean_price, count(*) AS n_rows FROM survey s
-WHERE regexp_matches(item_name, 'bolt|ring|hot') GROUP BY category, item_name""",
+WHERE regexp_matches(item_name, 'bolt|ring|hot') AND category IN ('ECONOMY', 'STANDARD', 'PROMO')
+GROUP BY category, item_name""",
     # titles
     "tfidf_weights": f"WITH {_tfidf(_TITLES, 'listing_id', _TITLE_TARGETS)} "
     f"SELECT listing_id, gram, {_round('weight', 6)} AS weight FROM weights",
@@ -465,7 +480,7 @@ WHERE regexp_matches(item_name, 'bolt|ring|hot') GROUP BY category, item_name"""
     "prepared_survey": f"WITH {PREPARED} SELECT * REPLACE ({_round('price')} AS price) FROM prepared",
     "survey_report": _levels(PREPARED, "prepared", _LEVELS),
     "survey_report_clean": _levels(
-        PREPARED + _kept("prepared", "category, item_name", "item_rows"), "item_rows", _CLEAN_LEVELS
+        PREPARED + _kept("prepared", "category, item_name", "item_rows"), "item_rows", _LEVELS
     ),
     "item_report": _levels(
         PREPARED
@@ -474,6 +489,7 @@ grouped AS (
   SELECT prepared.* REPLACE (CASE WHEN item_name = 'old bolt(Brand#1) 1ea' THEN price / 2 ELSE price END AS price),
          g.item_group
   FROM prepared JOIN (VALUES ('old'), ('hot'), ('ring')) AS g(item_group) ON contains(item_name, g.item_group)
+  WHERE category IN ('fast', 'heat')
 )"""
         + _kept("grouped", "item_group", "group_rows"),
         "group_rows",

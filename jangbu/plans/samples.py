@@ -10,6 +10,11 @@ CATEGORY_RULES = [("fast", ["bolt", "rod"]), ("ringed", ["ring", "gear"]), ("hea
 OTHER = "other"
 ITEM_GROUPS = {"old": "old", "hot": "hot", "ring": "ring"}
 UNIT_FIXES = [("old bolt", 2, "1ea")]
+# Categories whose rows the item jobs take, before and after categories are assigned; groups occur in others too.
+ITEM_CATEGORIES = ["ECONOMY", "STANDARD", "PROMO"]
+ASSIGNED_CATEGORIES = ["fast", "heat"]
+# Rows from the end that one download had too many.
+TAIL_ROWS = 500
 TITLE_INCLUDE = ["widget", "gear"]
 TITLE_EXCLUDE = ["old"]
 TARGETS = ["bolt", "ring", "hot gear"]
@@ -44,7 +49,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def survey(spark: SparkSession, folder: str) -> DataFrame:
-    """Prices by market, district, category, item, year and month; zeros are made by rule.
+    """Prices by market, district, category, item, year and month; zeros and outliers are made by rule.
 
     The joins carry no hints: the files' sizes decide what is broadcast.
     """
@@ -66,7 +71,10 @@ def survey(spark: SparkSession, folder: str) -> DataFrame:
             year.cast("bigint").alias("year"),
             month.cast("int").alias("month"),
             F.concat(year.cast("string"), F.lit("-"), F.lpad(month.cast("string"), 2, "0")).alias("year_month"),
-            F.when(F.col("l_discount") < limit, 0.0).otherwise(F.col("l_extendedprice")).alias("price"),
+            F.when(F.col("l_discount") < limit, 0.0)
+            .when((F.col("l_orderkey") * 10 + F.col("l_linenumber")) % 83 == 5, F.col("l_extendedprice") * 40)
+            .otherwise(F.col("l_extendedprice"))
+            .alias("price"),
         )
     )
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from jangbu import rules, schema
 from jangbu.operators import columns, outliers, quality, rows
-from jangbu.operators.volatility import GROUP, LEVELS, MONTH, YEAR, volatility, volatility_levels
+from jangbu.operators.volatility import GROUP, LEVELS, MONTH, YEAR, volatility_levels
 from jangbu.session import settle
 from jangbu.sources import tables, xml
 
@@ -16,10 +17,18 @@ def combine(survey: DataFrame, records: DataFrame) -> DataFrame:
     return rows.union_outer(records, columns.align_types(survey, records.schema))
 
 
-def load(spark: SparkSession, files: list[tables.CsvFile], api_pages: str | list[str] | None = None) -> DataFrame:
-    """Landed survey files, plus one year of landed API responses, under canonical names."""
+def load(
+    spark: SparkSession,
+    files: list[tables.CsvFile],
+    api_pages: str | list[str] | None = None,
+    date_prefix: str | None = None,
+) -> DataFrame:
+    """Landed survey files, plus landed API responses, under canonical names.
+
+    `date_prefix` keeps the API records of one period (the survey's own job takes 2024); by default all stay.
+    """
     survey = tables.read_dialects(spark, files)
-    return survey if api_pages is None else combine(survey, xml.api_year(xml.read_rows(spark, api_pages)))
+    return survey if api_pages is None else combine(survey, xml.api_rows(xml.read_rows(spark, api_pages), date_prefix))
 
 
 def clean(raw: DataFrame) -> DataFrame:
@@ -52,10 +61,21 @@ def volatility_report(prepared: DataFrame, drop_outliers: bool = False, levels=L
     return volatility_levels(without_outliers(prepared) if drop_outliers else prepared, levels)
 
 
-def item_rows(prepared: DataFrame, groups=rules.ITEM_GROUPS, fixes=rules.UNIT_FIXES, approximate: bool = False):
+def grouped_items(prepared: DataFrame, groups=rules.ITEM_GROUPS, fixes=rules.UNIT_FIXES, categories=rules.ITEM_GROUP_CATEGORIES):
+    """Rows of the item groups with repaired units; other categories may name the same goods and stay out."""
+    schema.require_columns(prepared, "category", "item_name", "price")
+    return columns.fix_units(rows.explode_groups(prepared.filter(F.col("category").isin(*categories)), groups=groups), fixes)
+
+
+def item_rows(
+    prepared: DataFrame,
+    groups=rules.ITEM_GROUPS,
+    fixes=rules.UNIT_FIXES,
+    approximate: bool = False,
+    categories=rules.ITEM_GROUP_CATEGORIES,
+):
     """Rows of the item groups with repaired units, inside the fences of their group."""
-    schema.require_columns(prepared, "item_name", "price")
-    grouped = columns.fix_units(rows.explode_groups(prepared, groups=groups), fixes)
+    grouped = grouped_items(prepared, groups, fixes, categories)
     remove = outliers.remove_outliers_approx if approximate else outliers.remove_outliers
     return remove(grouped, [GROUP])
 
@@ -69,7 +89,3 @@ def item_report(prepared: DataFrame, **options) -> DataFrame:
 def stored(prepared: DataFrame) -> DataFrame:
     """Settle the prepared rows when several reports follow."""
     return settle(prepared, "prepared")
-
-
-def district_summary(prepared: DataFrame) -> DataFrame:
-    return volatility(prepared, ["district_name"]).select("district_name", "mean", "cv", "count")

@@ -88,10 +88,6 @@ NULL_TOKENS = ["nan", "NaN", ""]
 CELL_TAIL_MARKER = '";'
 JUNK_HEADER_TEXT = "일련번호,"
 
-# Survey year kept from the API, rows cut from the end of the full download.
-API_DATE_PREFIX = "2024"
-TAIL_ROWS = 8352
-
 # Zero prices: items above this share (percent) are removed, others imputed.
 ZERO_RATIO_LIMIT = 30.0
 # Tukey fences, and the relative rank error of the approximate variant.

@@ -49,16 +49,12 @@ CLEAN_HEADERS = {
     "카테고리": "category",
 }
 
-# Positional names of a header-less file -> canonical name.
-POSITIONAL = {f"_c{i}": name for i, name in enumerate(SURVEY_HEADERS.values())}
-
 
 def _strings(names) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
 RAW = _strings(SURVEY_HEADERS.values())
-RAW_KOREAN = _strings(SURVEY_HEADERS.keys())
 API = _strings(API_TAGS.keys())
 
 CLEAN = T.StructType(

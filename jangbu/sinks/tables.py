@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+#: A quote inside a cell is written twice, as other programs do.
+_WRITTEN = {"header": True, "quote": '"', "escape": '"'}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**_WRITTEN).csv(path)
 
 
 def write_single_csv(df: DataFrame, path: str) -> None:
@@ -19,7 +23,7 @@ def write_by(df: DataFrame, column: str, path: str) -> None:
 
     The rebalance hint groups rows by value but splits a value that holds much of the data.
     """
-    df.hint("rebalance", column).write.mode("overwrite").option("header", True).partitionBy(column).csv(path)
+    df.hint("rebalance", column).write.mode("overwrite").options(**_WRITTEN).partitionBy(column).csv(path)
 
 
 def write_volatility(yearly: DataFrame, monthly: DataFrame, base: str, column: str = "item_group") -> None:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from functools import reduce
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,22 +16,56 @@ from jangbu import schema
 
 
 class CsvFile(NamedTuple):
-    """One landed file and how it is written."""
+    """One landed file and how it is written. `multi_line`: cells may hold line breaks; such a file is not split."""
 
     path: str
     sep: str = ","
     charset: str = "UTF-8"
+    multi_line: bool = False
 
 
-def _reader(spark: SparkSession, sep: str = ",", charset: str = "UTF-8"):
-    reader = spark.read.option("header", True).option("sep", sep).option("encoding", charset)
+_WIDE = ("UTF-16", "UTF-32")
+
+
+def _reader(spark: SparkSession, sep: str = ",", charset: str = "UTF-8", multi_line: bool = False):
+    reader = spark.read.options(header=True, sep=sep, encoding=charset, quote='"', escape='"', multiLine=multi_line)
     # Lines of wide charsets are found by the encoded separator; name the byte order (UTF-16LE, UTF-16BE).
-    return reader.option("lineSep", "\n") if charset.upper().startswith(("UTF-16", "UTF-32")) else reader
+    return reader.option("lineSep", "\n") if charset.upper().startswith(_WIDE) else reader
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], columns: T.StructType = schema.RAW, **dialect) -> DataFrame:
-    """Scan with an explicit schema: no pass over the data to infer types."""
-    return _reader(spark, **dialect).schema(columns).csv(paths)
+def read_csv(
+    spark: SparkSession,
+    paths: str | list[str],
+    columns: T.StructType = schema.RAW,
+    headers: dict[str, str] = schema.SURVEY_HEADERS,
+    also: list[Column] | None = None,
+    **dialect,
+) -> DataFrame:
+    """Columns by name, whatever their order in the files: no pass over the data to infer types.
+
+    The header of each file is read; `headers` renames its cells, columns that are not wanted are left out, absent ones are
+    NULL. Files of one header are scanned together. `also` adds columns of the scan, such as the file name.
+    """
+    wide = dialect.get("charset", "UTF-8").upper().startswith(_WIDE)
+    by_header = defaultdict(list)
+    for path in [paths] if isinstance(paths, str) else paths:
+        by_header[tuple(_reader(spark, **dialect).csv(path).columns)].append(path)
+    frames = []
+    for header, own in by_header.items():
+        names = [headers.get(h.strip(), h.strip()) for h in header]
+        known = {f.name: f.dataType for f in columns.fields}
+        # With a fixed line feed a carriage return stays at the end of the last cell.
+        last = names[-1] if wide else None
+        types = [known.get(n, T.StringType()) if n != last else T.StringType() for n in names]
+        # A name that occurs again is junk, as is an unknown one.
+        read = [n if n not in names[:i] else f"{n}#{i}" for i, n in enumerate(names)]
+        scan = _reader(spark, **dialect).schema(T.StructType(list(map(T.StructField, read, types)))).csv(own)
+        cells = {n: F.col(f"`{n}`") for n in known if n in names}
+        if last in cells:
+            cells[last] = F.nullif(F.regexp_replace(cells[last], "\r$", ""), F.lit("")).try_cast(known[last])
+        chosen = [cells.get(n, F.lit(None).cast(kind)).alias(n) for n, kind in known.items()]
+        frames.append(scan.select(*chosen, *(also or [])))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def read_csv_inferred(spark: SparkSession, paths: str | list[str], **dialect) -> DataFrame:
@@ -38,28 +74,32 @@ def read_csv_inferred(spark: SparkSession, paths: str | list[str], **dialect) ->
 
 
 def read_dialects(spark: SparkSession, files: list[CsvFile], columns: T.StructType = schema.RAW) -> DataFrame:
-    """Files of different separators and charsets: one scan per dialect, then a union by name.
+    """Files of different separators and charsets: one scan per dialect and header, then a union by name.
 
     Charsets outside UTF-8/16/32, ISO-8859-1 and US-ASCII need `spark.sql.legacy.javaCharsets=true`.
     """
     by_dialect = defaultdict(list)
     for f in files:
-        by_dialect[f.sep, f.charset].append(f.path)
-    frames = [read_csv(spark, paths, columns, sep=sep, charset=cs) for (sep, cs), paths in by_dialect.items()]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+        by_dialect[f.sep, f.charset, f.multi_line].append(f.path)
+    frames = [
+        read_csv(spark, paths, columns, sep=sep, charset=charset, multi_line=multi_line)
+        for (sep, charset, multi_line), paths in by_dialect.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def _stem():
-    """Name of the file, or of the folder that holds its parts, without the suffix."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.csv)?(/part-[^/]*)?$", 1)
+    """Name of the file, or of the folder that holds its parts, without the suffix.
+
+    The path is a URI: escaped characters are restored, a plus sign stands for itself.
+    """
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.csv)?(/part-[^/]*)?$", 1)
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
 def read_many(spark: SparkSession, paths: list[str], columns: T.StructType = schema.RAW, source: str = "source") -> DataFrame:
     """All files in one scan, with the stem of the file as a column instead of one frame per file."""
-    return read_csv(spark, paths, columns).select("*", _stem().alias(source))
+    return read_csv(spark, paths, columns, also=[_stem().alias(source)])
 
 
 def read_or_empty(spark: SparkSession, path: str, columns: T.StructType = schema.RAW) -> DataFrame:
@@ -75,16 +115,20 @@ def read_or_empty(spark: SparkSession, path: str, columns: T.StructType = schema
 def read_whitelist(
     spark: SparkSession, folder: str, stems: list[str], columns: T.StructType = schema.RAW, source: str = "source"
 ) -> DataFrame:
-    """The CSV files of a folder whose stem is listed."""
-    return (
-        _reader(spark)
+    """The CSV files of a folder whose stem is listed. Their names are listed first, so others are not read."""
+    listed = (
+        spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
-        .schema(columns)
-        .csv(folder)
-        .select("*", _stem().alias(source))
-        .filter(F.col(source).isin(*stems))
+        .load(folder)
+        .select("path", _stem().alias("_stem"))
+        .filter(F.col("_stem").isin(*stems))
     )
+    # One row a wanted file, or a part of one.
+    paths = sorted(unquote(row["path"]) for row in listed.collect())
+    if not paths:
+        return spark.createDataFrame([], T.StructType([*columns.fields, T.StructField(source, T.StringType())]))
+    return read_csv(spark, paths, columns, also=[_stem().alias(source)])
 
 
 def from_rows(spark: SparkSession, rows: list, columns: T.StructType = schema.API) -> DataFrame:

@@ -6,17 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jangbu import rules, schema
+from jangbu import schema
+
 
 def _empty_to_null(df: DataFrame) -> DataFrame:
     """An empty element is a missing value."""
     return df.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in df.columns])
 
 
-def read_rows(spark: SparkSession, paths: str | list[str], columns: T.StructType = schema.API) -> DataFrame:
-    """Every `row` element of XML files; records that do not parse are left out."""
-    raw = spark.read.format("xml").option("rowTag", "row").option("mode", "DROPMALFORMED").schema(columns).load(paths)
-    return _empty_to_null(raw)
+#: Text of a record that did not parse; NULL for all others.
+CORRUPT = "_corrupt_record"
+
+
+def read_rows(
+    spark: SparkSession, paths: str | list[str], columns: T.StructType = schema.API, corrupt: bool = False
+) -> DataFrame:
+    """Every `row` element of XML files.
+
+    With `corrupt`, a record that does not parse is a row too, with what Spark keeps of its text (that of the whole page) in
+    CORRUPT; without, it is left out. Spark answers no query on CORRUPT alone: store the rows to count them.
+    """
+    reader = spark.read.format("xml").option("rowTag", "row")
+    if not corrupt:
+        return _empty_to_null(reader.option("mode", "DROPMALFORMED").schema(columns).load(paths))
+    kept = T.StructType([*columns.fields, T.StructField(CORRUPT, T.StringType())])
+    return _empty_to_null(reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).schema(kept).load(paths))
 
 
 def rows_from_pages(df: DataFrame, page: str, columns: T.StructType = schema.API) -> DataFrame:
@@ -26,6 +40,7 @@ def rows_from_pages(df: DataFrame, page: str, columns: T.StructType = schema.API
     return _empty_to_null(df.select(F.explode(parsed["row"]).alias("_row")).select("_row.*"))
 
 
-def api_year(df: DataFrame, prefix: str = rules.API_DATE_PREFIX) -> DataFrame:
-    """Records of one year under canonical names."""
-    return df.filter(F.col("P_DATE").startswith(prefix)).withColumnsRenamed(schema.API_TAGS)
+def api_rows(df: DataFrame, date_prefix: str | None = None) -> DataFrame:
+    """Records under canonical names: all, or those whose date starts with a prefix such as a year."""
+    kept = df if date_prefix is None else df.filter(F.col("P_DATE").startswith(date_prefix))
+    return kept.withColumnsRenamed(schema.API_TAGS)

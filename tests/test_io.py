@@ -31,11 +31,31 @@ def test_bom_and_dialects(spark, tmp_path):
     got = tables.read_dialects(spark, files).collect()
     assert len(got) == 3 and len({(r["id"], r["item_name"], r["sales_unit"]) for r in got}) == 1
     assert got[0]["item_name"] == "쌀(이천쌀) 20kg 1포" and got[0]["sales_unit"] is None
-    assert {r["inspection_date"].rstrip() for r in got} == {"2024-11-01"}
+    assert {r["inspection_date"] for r in got} == {"2024-11-01"}
     inferred = tables.read_csv_inferred(spark, str(tmp_path / "a.csv"))
     assert inferred.columns == list(schema.SURVEY_HEADERS) and dict(inferred.dtypes)["가격(원)"] == "int"
 
 
+def test_columns_go_by_name_and_cells_keep_quotes(spark, tmp_path):
+    kinds = schema._strings(["id", "name", "price"])
+    (tmp_path / "a.csv").write_text('id,price,junk,name\n1,100,x,"a ""big"" one"\n', encoding="utf-8")
+    (tmp_path / "채소 과일+.csv").write_text('name,id\n"two\nlines",2\n', encoding="utf-8")
+    files = [tables.CsvFile(str(tmp_path / "a.csv")), tables.CsvFile(str(tmp_path / "채소 과일+.csv"), multi_line=True)]
+    assert plain(tables.read_dialects(spark, files, kinds)) == [("1", 'a "big" one', "100"), ("2", "two\nlines", None)]
+    listed = tables.read_whitelist(spark, str(tmp_path), ["채소 과일+"], kinds)
+    assert {r["source"] for r in listed.collect()} == {"채소 과일+"}
+    sinks.write_csv(spark.createDataFrame([('say "x"', 1)], "name string, id int"), str(tmp_path / "out"))
+    assert 'say ""x""' in "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
+
+
+def test_corrupt_records_are_kept_on_demand(spark, tmp_path):
+    rows_ = "<row><P_SEQ>1</P_SEQ></row><row><P_SEQ>x & y</P_SEQ></row><row><P_SEQ>3</P_SEQ></row>"
+    (tmp_path / "p.xml").write_text(f"<list>{rows_}</list>", encoding="utf-8")
+    assert {r["P_SEQ"] for r in xml.read_rows(spark, str(tmp_path / "p.xml")).collect()} == {"1", "3"}
+    every = xml.read_rows(spark, str(tmp_path / "p.xml"), corrupt=True).collect()
+    assert len(every) == 3 and ["x & y" in (r[xml.CORRUPT] or "") for r in every].count(True) == 1
+
+
 def test_korean_charset_needs_the_legacy_switch(spark, tmp_path):
     (tmp_path / "k.csv").write_text("name\n양파\n", encoding="cp949")
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
@@ -66,7 +86,8 @@ def test_xml_rows_and_pages(spark, tmp_path):
     (tmp_path / "p.xml").write_text(page, encoding="utf-8")
     got = xml.read_rows(spark, str(tmp_path / "p.xml"))
     assert got.columns == schema.API.fieldNames() and got.count() == 2
-    first = xml.api_year(got).first()
+    first = xml.api_rows(got, "2024").first()
+    assert xml.api_rows(got).count() == 2
     assert (first["id"], first["item_name"], first["sales_unit"], first["price"]) == ("1", "무 & 배추", None, None)
     held = spark.createDataFrame([(page,), ("<broken><row>",), (None,)], "page string")
     assert plain(xml.rows_from_pages(held, "page")) == plain(got)

@@ -1,4 +1,4 @@
-"""Exact quantiles on every path, approximate ones within their error, and the hot-key join."""
+"""Exact quantiles, and approximate ones within their error."""
 
 import random
 
@@ -6,10 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from jangbu.operators import lookup, outliers, quantiles
+from jangbu.operators import outliers, quantiles
 from jangbu.plans import samples
 from jangbu.plans import survey as plan
-from jangbu.session import settle
 
 PROBS = {"p0": 0.0, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p99": 0.99, "p100": 1.0}
 
@@ -25,12 +24,11 @@ def _groups():
     }
 
 
-@pytest.mark.parametrize("hash_rows", [quantiles.HASH_ROWS, 0])
-def test_exact_quantiles_equal_numpy(spark, hash_rows):
+def test_exact_quantiles_equal_numpy(spark):
     groups = _groups()
     rows = [(k, v) for k, vs in groups.items() for v in vs] + [(None, 1.0), ("hot", None), ("empty", None)]
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {r["k"]: r for r in quantiles.exact_quantiles(df, ["k"], "v", PROBS, hash_rows=hash_rows).collect()}
+    got = {r["k"]: r for r in quantiles.exact_quantiles(df, ["k"], "v", PROBS).collect()}
     assert set(got) == set(groups)
     for key, vs in groups.items():
         assert got[key]["n_values"] == len(vs)
@@ -38,18 +36,31 @@ def test_exact_quantiles_equal_numpy(spark, hash_rows):
             assert got[key][name] == pytest.approx(np.quantile(vs, p), rel=1e-12, abs=1e-12)
 
 
-def test_both_paths_agree_on_the_survey(spark, small):
-    df = samples.survey(spark, small)
-    ways = [
-        quantiles.exact_quantiles(df, ["item_name", "year"], "price", PROBS, hash_rows=n).collect()
-        for n in (quantiles.HASH_ROWS, 0)
-    ]
-    left, right = (sorted(map(tuple, w)) for w in ways)
+def test_agrees_with_the_built_in_on_the_survey(spark, small):
+    df, keys = samples.survey(spark, small), ["item_name", "year"]
+    built_in = df.groupBy(*keys).agg(*[F.percentile("price", p).alias(n) for n, p in PROBS.items()], F.count("price"))
+    left, right = (sorted(map(tuple, w.collect())) for w in (quantiles.exact_quantiles(df, keys, "price", PROBS), built_in))
     assert len(left) == len(right) > 100
     for a, b in zip(left, right):
         assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:])
 
 
+def test_all_doubles_and_a_narrow_hot_range(spark):
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "inf": [-inf, 1.0, 2.0, inf, inf],
+        "subnormal": [1e-323, 5e-324, 0.0, -1e-323],
+        "narrow": [1000 + i / 1e6 for i in range(5000)],
+        "nan": [nan, 1.0, 3.0],
+    }
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double")
+    got = {r["k"]: r for r in quantiles.exact_quantiles(df, ["k"], "v", {"low": 0.0, "mid": 0.5, "high": 1.0}).collect()}
+    assert (got["inf"]["low"], got["inf"]["mid"], got["inf"]["high"]) == (-inf, 2.0, inf)
+    assert (got["subnormal"]["low"], got["subnormal"]["high"]) == (-1e-323, 1e-323)
+    assert got["narrow"]["mid"] == pytest.approx(np.median(groups["narrow"]))
+    assert (got["nan"]["low"], got["nan"]["mid"]) == (1.0, 3.0) and np.isnan(got["nan"]["high"])
+
+
 def test_approximate_quartiles_keep_their_rank_error(spark, small):
     df = samples.survey(spark, small)
     per_item = {}
@@ -64,8 +75,8 @@ def test_approximate_quartiles_keep_their_rank_error(spark, small):
 
 def test_approximate_outliers_are_a_part_of_the_rows(spark, small):
     df = samples.survey(spark, small)
-    kept = plan.item_rows(df, samples.ITEM_GROUPS, samples.UNIT_FIXES, approximate=True)
-    exact = plan.item_rows(df, samples.ITEM_GROUPS, samples.UNIT_FIXES)
+    kept = plan.item_rows(df, samples.ITEM_GROUPS, samples.UNIT_FIXES, True, samples.ITEM_CATEGORIES)
+    exact = plan.item_rows(df, samples.ITEM_GROUPS, samples.UNIT_FIXES, False, samples.ITEM_CATEGORIES)
     assert 0.9 * exact.count() <= kept.count()
     assert kept.columns == exact.columns
 
@@ -91,35 +102,13 @@ def test_outlier_rows_are_input_rows(spark, small):
     assert kept.exceptAll(df).count() == 0
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_lookup_beyond_the_broadcast_limit(spark, how, monkeypatch):
-    monkeypatch.setattr(lookup, "HOT_SHARE", 4)
-    facts = [("hot", 1, i) for i in range(300)] + [(f"k{i % 40}", i % 3, i) for i in range(300)] + [(None, 1, 0), ("hot", None, 1)]
-    facts = spark.createDataFrame(facts, "k string, y int, v int")
-    table = [("hot", 1, 300, 0.5)] + [(f"k{i}", y, 3, float(i)) for i in range(30) for y in range(3)]
-    table = settle(spark.createDataFrame(table, "k string, y int, n bigint, s double"), "table")
-    plain = facts.join(table, ["k", "y"], how)
-    for weight in ("n", None):
-        wide = lookup.lookup_join(facts, table, ["k", "y"], how, weight, broadcast_bytes=10)
-        assert wide.columns == plain.columns
-        assert sorted(map(repr, wide.collect())) == sorted(map(repr, plain.collect()))
-
-
-def test_hot_keys_are_not_shuffled_beyond_the_limit(spark):
-    facts = spark.createDataFrame([("a", 1)], "k string, v int")
-    table = settle(spark.createDataFrame([("a", 5)], "k string, n bigint"), "table")
-    small = lookup.lookup_join(facts, table, ["k"], "left", "n")
-    text = small._jdf.queryExecution().toString()
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-
-
-def test_value_ranges_never_decrease(spark):
-    rng = random.Random(3)
-    values = sorted(
-        {s * 10.0**e * m for e in range(-12, 13) for m in (1, 1.0000000000000002, 0.9999999999999999, 9.99, 5) for s in (1, -1)}
-        | {rng.uniform(-1e6, 1e6) for _ in range(500)}
-        | {0.0}
-    )
-    df = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
-    codes = [r[0] for r in df.select("v", quantiles._value_range(F.col("v")).alias("c")).orderBy("v").select("c").collect()]
-    assert codes == sorted(codes) and None not in codes
+def test_the_survey_has_outliers_in_every_group(spark, small):
+    grouped = plan.grouped_items(samples.survey(spark, small), samples.ITEM_GROUPS, samples.UNIT_FIXES, samples.ITEM_CATEGORIES)
+    removed = {r["item_group"]: r["n_removed"] for r in outliers.removed_counts(grouped, ["item_group"]).collect()}
+    assert set(removed) == set(samples.ITEM_GROUPS) and min(removed.values()) > 0
+
+
+def test_item_groups_stay_in_their_categories(spark):
+    rows = [("축산물", "돼지고기 1근", 1.0), ("가공식품", "햄(돼지고기) 1개", 9.0), ("가공식품", "만두(돼지고기,배추)", 8.0)]
+    df = spark.createDataFrame(rows, "category string, item_name string, price double").withColumn("sales_unit", F.lit("x"))
+    assert [r["price"] for r in plan.grouped_items(df).collect()] == [1.0]

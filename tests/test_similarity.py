@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from jangbu.operators import lookup, similarity
+from jangbu.operators import similarity
 
 TITLES = {
     1: "양파(1.5kg/망)",
@@ -41,13 +41,6 @@ def expected():
     return weights, best
 
 
-@pytest.fixture(params=[lookup.BROADCAST_BYTES, 0])
-def either_join(request, monkeypatch):
-    """Both ways of joining the gram table, with a few hot grams in the second."""
-    monkeypatch.setattr(lookup, "HOT_SHARE", 6)
-    monkeypatch.setattr(lookup, "BROADCAST_BYTES", request.param)
-
-
 def test_grams(spark):
     df = spark.createDataFrame(list(TITLES.items()), "id int, title string")
     got = {}
@@ -58,7 +51,7 @@ def test_grams(spark):
     assert got[4]["red"] == 2 and got[5] == Counter([""]) and 6 not in got
 
 
-def test_weights_and_similarity(spark, either_join):
+def test_weights_and_similarity(spark):
     df = spark.createDataFrame(list(TITLES.items()), "id int, title string")
     weights, best = expected()
     got = {}
