@@ -7,7 +7,7 @@ import os
 import time
 
 from jangbu.plans.catalog import QUERIES
-from jangbu.session import local_session
+from jangbu.session import local_session, scratch
 
 HEADLINE = [
     "vol_district",
@@ -36,9 +36,10 @@ HEADLINE = [
 
 
 def seconds(spark, name: str, folder: str) -> float:
-    start = time.perf_counter()
-    QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-    return round(time.perf_counter() - start, 3)
+    with scratch(spark):
+        start = time.perf_counter()
+        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        return round(time.perf_counter() - start, 3)
 
 
 def main() -> None:

@@ -145,13 +145,14 @@ def xml_pages(spark, folder):
 
 
 _LI = pages.element("li")
-_LI_FIELDS = {"name": pages.element("a"), "price": pages.element("em")}
+_TILE = pages.element("article")
+_TILE_FIELDS = {"name": pages.element("h1"), "price": pages.element("p")}
 _HREF = r'<a\b[^>]*\bhref="([^"]*)"'
 
 
 @query
 def html_tiles(spark, folder):
-    return pages.tiles(samples.table(spark, folder, "pages"), tile=_LI, fields=_LI_FIELDS)
+    return pages.tiles(samples.table(spark, folder, "pages"), tile=_TILE, fields=_TILE_FIELDS)
 
 
 @query
@@ -167,6 +168,16 @@ def dedup_first(spark, folder):
     return rows.keep_first(found, ["product_id"], ["page_id", "pos"])
 
 
+@query
+def listing_job(spark, folder):
+    """Pages to a filtered list: items, the first of each product, titles with one word and without another, CSV."""
+    found = dedup_first(spark, folder)
+    chosen = rows.titles_including_excluding(found, include=samples.LISTED, exclude=samples.UNLISTED)
+    path = scratch_path(spark, "listing_job")
+    sinks.write_csv(chosen, path)
+    return tables.read_csv(spark, path, chosen.schema)
+
+
 # Sinks ---------------------------------------------------------------------------------------------------
 
 
@@ -202,6 +213,14 @@ def sink_by_group(spark, folder):
     return tables.read_csv(spark, path, df.schema).select(*df.columns)
 
 
+@query
+def category_tables(spark, folder):
+    """The category tables written under their stored names and loaded again; rows of other categories are not stored."""
+    path = scratch_path(spark, "category_tables")
+    plan.store_categories(prepared(spark, folder), path, samples.CATEGORY_SLUGS)
+    return shown(plan.load_categories(spark, path)).select("item_name", "price", "year", "month", "remark", "category")
+
+
 @query
 def sink_volatility(spark, folder):
     yearly, monthly = vol_item_year(spark, folder), vol_item_month(spark, folder)

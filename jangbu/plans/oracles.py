@@ -218,6 +218,9 @@ def _plain(html: str) -> str:
 
 
 _LI = r"(?s)<li\b[^>]*>(.*?)</li>"
+_ARTICLE = r"(?s)<article\b[^>]*>(.*?)</article>"
+_H1 = r"(?s)<h1\b[^>]*>(.*?)</h1>"
+_P = r"(?s)<p\b[^>]*>(.*?)</p>"
 _A = r"(?s)<a\b[^>]*>(.*?)</a>"
 _HREF = r'<a\b[^>]*\bhref="([^"]*)"'
 _FRAGMENTS = rf"""
@@ -293,10 +296,16 @@ ORACLES: dict[str, str] = {
     "CAST(s_acctbal AS VARCHAR) AS balance, 'supplier' AS source FROM supplier",
     "xml_rows": f"WITH {RAW} SELECT {_all_raw(remark=_NO_EMPTY)} FROM raw",
     "xml_pages": f"WITH {RAW} SELECT {_all_raw(remark=_NO_EMPTY)} FROM raw",
-    "html_tiles": rf"""WITH {_FRAGMENTS}
+    "html_tiles": rf"""WITH {_FRAGMENTS.replace(_LI, _ARTICLE)}
 SELECT page_id, pos,
-       CASE WHEN regexp_matches(frag, '{_A}') THEN {_plain(f"regexp_extract(frag, '{_A}', 1)")} END AS name,
-       CAST(NULL AS VARCHAR) AS price FROM fragments""",
+       CASE WHEN regexp_matches(frag, '{_H1}') THEN {_plain(f"regexp_extract(frag, '{_H1}', 1)")} END AS name,
+       CASE WHEN regexp_matches(frag, '{_P}') THEN {_plain(f"regexp_extract(frag, '{_P}', 1)")} END AS price FROM fragments""",
+    "listing_job": rf"""WITH {_FRAGMENTS},
+items AS (SELECT page_id, pos, {_HREF_ID} AS product_id, {_plain(f"regexp_extract(frag, '{_A}', 1)")} AS title
+          FROM fragments WHERE regexp_matches(frag, '{_HREF}')),
+firsts AS (SELECT * FROM items QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY page_id, pos) = 1)
+SELECT page_id, pos, product_id, title FROM firsts
+WHERE (contains(title, 'th') OR contains(title, 'en')) AND NOT contains(title, 'er')""",
     "href_product_id": "SELECT page_id, split_part(list_last(string_split(url, '/')), '?', 1) AS product_id FROM pages",
     "dedup_first": rf"""WITH {_FRAGMENTS},
 items AS (SELECT page_id, pos, {_HREF_ID} AS product_id, {_plain(f"regexp_extract(frag, '{_A}', 1)")} AS title
@@ -308,6 +317,8 @@ QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY page_id, pos) = 1"""
     "sink_single": _vol(SURVEY, "survey", "district_name"),
     "sink_by_category": f"WITH {SURVEY} SELECT * FROM survey",
     "sink_by_group": f"WITH {GROUP_ROWS} SELECT * FROM group_rows",
+    "category_tables": f"WITH {PREPARED} SELECT item_name, {_round('price')} AS price, year, month, remark, category "
+    "FROM prepared WHERE category IN ('fast', 'ringed')",
     "sink_volatility": f"""WITH {GROUP_ROWS}
 SELECT item_group, year AS period, {_measures()}, 'yearly' AS kind FROM group_rows GROUP BY item_group, year
 UNION ALL

@@ -17,6 +17,8 @@ ASSIGNED_CATEGORIES = ["fast", "heat"]
 TAIL_ROWS = 500
 TITLE_INCLUDE = ["widget", "gear"]
 TITLE_EXCLUDE = ["old"]
+LISTED, UNLISTED = ["th", "en"], ["er"]
+CATEGORY_SLUGS = {"fast": "quick", "ringed": "round"}
 TARGETS = ["bolt", "ring", "hot gear"]
 DOCUMENT_TARGETS = ["the", "que les", "der und", "los de la"]
 PROFILE_ITEMS = ["bolt", "ring", "hot"]

@@ -9,6 +9,7 @@ from jangbu import rules, schema
 from jangbu.operators import columns, outliers, quality, rows
 from jangbu.operators.volatility import GROUP, LEVELS, MONTH, YEAR, volatility_levels
 from jangbu.session import settle
+from jangbu.sinks import tables as sinks
 from jangbu.sources import tables, xml
 
 
@@ -51,6 +52,18 @@ def prepare(
     return columns.assign_category(quality.repair_zeros(cleaned), ordered_rules=category_rules, other=other)
 
 
+def store_categories(prepared: DataFrame, folder: str, slugs: dict[str, str] = rules.CATEGORY_SLUGS) -> None:
+    """One CSV table per stored category, in a folder by its stored name, under the headers of the files."""
+    named = prepared.withColumn("stored_as", F.create_map(*[F.lit(x) for pair in slugs.items() for x in pair])[F.col("category")])
+    tables_ = sinks.with_headers(named.filter(F.col("stored_as").isNotNull()), schema.CLEAN_HEADERS)
+    sinks.write_by(tables_, "stored_as", folder)
+
+
+def load_categories(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored category tables in one, with canonical names and types; columns that were not stored are NULL."""
+    return tables.read_csv(spark, folder, schema.CLEAN, schema.CLEAN_HEADERS)
+
+
 def without_outliers(prepared: DataFrame) -> DataFrame:
     """Rows inside the fences of their item."""
     return outliers.remove_outliers(prepared, ["category", "item_name"])

@@ -74,14 +74,6 @@ CLEAN = T.StructType(
     ]
 )
 
-LISTING = T.StructType(
-    [
-        T.StructField("title", T.StringType()),
-        T.StructField("price", T.LongType()),
-        T.StructField("unit_price", T.StringType()),
-    ]
-)
-
 # Columns the cleaning step removes.
 UNUSED = ["id", "market_id", "inspection_date", "market_type_code", "district_code"]
 

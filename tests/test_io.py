@@ -10,7 +10,8 @@ from jangbu.operators import rows
 from jangbu.plans import survey as plan
 from jangbu.sinks import tables as sinks
 from jangbu.sources import pages, tables, xml
-from jangbu.session import scratch_root, settle
+from jangbu.plans import samples
+from jangbu.session import scratch, scratch_root, settle
 
 
 def plain(df):
@@ -172,3 +173,11 @@ def test_load_combines_files_and_api_pages(spark, tmp_path):
     both = plan.load(spark, [tables.CsvFile(str(tmp_path / "s.csv"), ";")], str(tmp_path / "p.xml"))
     cleaned = {(r["item_name"], r["price"], r["year"], r["month"]) for r in plan.clean(both).collect()}
     assert cleaned == {("무", 100.0, 2023, 11), ("배추", 0.0, 2024, 11)}
+
+
+def test_intermediate_tables_go_with_their_block(spark, small):
+    before = set(Path(scratch_root(spark)).iterdir())
+    with scratch(spark):
+        report = plan.item_report(samples.survey(spark, small), groups=samples.ITEM_GROUPS, categories=samples.ITEM_CATEGORIES)
+        assert report.count() > 0 and set(Path(scratch_root(spark)).iterdir()) > before
+    assert set(Path(scratch_root(spark)).iterdir()) == before
