@@ -56,11 +56,13 @@ def test_mix_is_near_its_targets(spark, small):
         assert abs(sum(r.taken for r in own) - target) <= max(r.size for r in own)
 
 
-def test_quality_finds_held_out_labels(spark, small):
-    _, got = rows(spark, small, "op3_quality")
-    labels = spark.read.parquet(f"{small}/labels.parquet").collect()
+def test_quality_finds_held_out_labels(spark):
+    """Over the middle tables: the smallest have 19 labels to learn nothing of and 80 to learn from."""
+    folder = "/root/testdata/sf0.01"
+    _, got = rows(spark, folder, "op3_quality")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").collect()
     away = [(got[r.doc_id].predicted, r.quality) for r in labels if got[r.doc_id].held_out]
-    assert sum(p == q for p, q in away) >= 0.9 * len(away)
+    assert sum(p == q for p, q in away) >= 0.95 * len(away)
 
 
 def test_repeated_strings_equal_brute_force(spark, small, docs):
