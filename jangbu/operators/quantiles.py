@@ -33,7 +33,8 @@ def exact_quantiles(
     """
     present = df.na.drop(subset=[*keys]).filter(F.col(value).isNotNull())
     if weight is None:
-        present, weight = frequencies(present, keys, value), "n"
+        # Stored, so that choosing the range borders does not compute the rows a second time.
+        present, weight = settle(frequencies(present, keys, value), "value_counts"), "n"
     counted = present.select(*keys, F.col(value).cast("double").alias("_v"), F.col(weight).alias("_n"))
     placed = settle(counted.repartitionByRange(*keys, "_v").withColumn("_part", F.spark_partition_id()), "placed_counts")
 
