@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import json
+import os
+import uuid
 
 import numpy as np
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
 from jangbu.session import scratch_path
@@ -43,3 +47,30 @@ def mapped_arrays(file: str) -> list[np.ndarray]:
         out.append(mapped[start : start + size].view(kind))
         start += size
     return out
+
+
+def shared_parts(spark: SparkSession, path: str) -> list[str]:
+    """Have Spark bring the Parquet files of a stored table to every executor; their names there, in the table's order."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    files = {f.getPath().getName(): f.getPath().toString() for f in found if f.getPath().getName().startswith("part-")}
+    for name in sorted(files):
+        spark.sparkContext.addFile(files[name])
+    return sorted(files)
+
+
+def mapped_parts(files: list[str], kinds: dict[str, type]) -> list[np.ndarray]:
+    """The columns of such files as mapped arrays. The first worker of an executor unpacks them, a batch at a time."""
+    out = []
+    for column, kind in kinds.items():
+        target = os.path.join(SparkFiles.getRootDirectory(), f"{files[0]}.{column}" if files else column)
+        if files and not os.path.exists(target):
+            own = f"{target}.{uuid.uuid4().hex}"
+            with open(own, "wb") as f:
+                for name in files:
+                    for batch in pq.ParquetFile(SparkFiles.get(name)).iter_batches(columns=[column]):
+                        f.write(batch.column(0).to_numpy().astype(kind).tobytes())
+            os.rename(own, target)
+        full = files and os.path.getsize(target)
+        out.append(np.memmap(target, kind, "r") if full else np.zeros(0, kind))
+    return out

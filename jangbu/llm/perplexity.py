@@ -1,197 +1,221 @@
 """Quality rules: plain limits on words and repeats, and perplexity bands by language.
 
-The perplexity is that of a modified Kneser-Ney model over runs of four symbols, one model a language. A symbol is a byte
-folded to one of 64 classes, so a language has at most 64 ** 4 runs whatever the size of the corpus: the counts
-of all documents can be gathered, and the model sent to every task, within a known bound. It is kept as sorted
-arrays of hashed runs in a file that workers map into memory.
+The perplexity is that of a modified Kneser-Ney model over runs of six characters, none of them folded, so that the
+model grows with the corpus. Every language has two models: texts fall into two folds by their hash, and each is measured
+by the model of the other fold, so that neither a text nor its copies vouch for it. Counts, discounts and probabilities
+are grouped tables of Spark. Tasks write them as hashed runs in ranges of rising hashes; Spark brings these files to the
+executors, where workers map them into memory.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jangbu.llm.files import array_file, mapped_arrays, shared_file
+from jangbu.llm.files import mapped_parts, shared_parts
 from jangbu.llm.spans import U64, Texts, counts_within, mixed, small
-from jangbu.session import settle
+from jangbu.session import scratch_path, settle
 
-ORDER = 4
-BITS = 6
+ORDER = 6
+#: Bits of a character, characters in one number, and the probability of one that no model knows.
+BITS, HALF, UNKNOWN = 21, 3, 1 / 0x110000
+FOLDS = 2
 LEAST_WORDS = 20
 MOST_REPEATED = 30
 WINDOW = 8
 #: A band reaches this many spreads (interquartile ranges, at least FLOOR bits) beyond the quartiles.
 SPREADS, FLOOR = 4.0, 0.15
 #: Runs gathered in a task before they are handed on.
-_HELD = 2_000_000
+_HELD = 1_000_000
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
 
 
-def _fold() -> np.ndarray:
-    """The class of each byte: letters without case, then digits, white space and marks, then the other bytes."""
-    out = np.full(256, 1, np.uint8)
-    for i in range(26):
-        out[[65 + i, 97 + i]] = 2 + i
-    out[48:58] = 28
-    for i, kind in enumerate((b" ", b"\n\r\t\v\f", b".", b",", b"!?", b";:", b"'\"`", b"-_", b"()[]{}", b"#", b"*", b"$", b"%", b"&", b"|", b"<>", b"/\\", b"=+~^@")):
-        out[list(kind)] = 29 + i
-    out[128:192] = 47 + np.arange(64) % 13
-    out[192:224] = 60 + np.arange(32) // 16
-    out[224:] = 62 + np.arange(32) // 16
-    return out
-
+def characters(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all texts, and where each text's end, starting with 0."""
+    leads = (texts.data & 0xC0) != 0x80
+    at = np.flatnonzero(leads)
+    first = texts.data[at]
+    size = 1 + (first >= 0xC0).astype(np.uint8) + (first >= 0xE0) + (first >= 0xF0)
+    out = (first & np.array([0, 0x7F, 0x1F, 0x0F, 0x07], np.uint8)[size]).astype(U64)
+    for k in range(1, 4):
+        more = np.flatnonzero(size > k)
+        out[more] = out[more] << U64(6) | (texts.data[np.minimum(at[more] + k, len(texts.data) - 1)] & 0x3F).astype(U64)
+    return out, np.concatenate([[0], np.cumsum(leads)])[texts.ends]
 
-FOLD = _fold()
 
+def runs(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """At each character the run that it ends, as two numbers (a, b) of three characters each, and where each text's end.
 
-def runs(texts: Texts) -> np.ndarray:
-    """At each byte the class of it and of the three before, as one number; before a text there are zeros."""
-    n = len(texts.data)
-    symbols = FOLD[texts.data].astype(np.uint32)
-    at = np.arange(n) - np.repeat(texts.ends[:-1], np.diff(texts.ends))
-    out = symbols.copy()
+    Before a text there are zeros.
+    """
+    symbols, ends = characters(texts)
+    n = len(symbols)
+    at = np.arange(n) - np.repeat(ends[:-1], np.diff(ends))
+    parts = [np.zeros(n, U64), symbols.copy()]
     for back in range(1, ORDER):
-        shifted = np.zeros(n, np.uint32)
+        shifted = np.zeros(n, U64)
         shifted[back:] = symbols[:-back] if back < n else 0
         shifted[at < back] = 0
-        out |= shifted << np.uint32(BITS * back)
-    return out
+        parts[back < HALF] |= shifted << U64(BITS * (back % HALF))
+    return *parts, ends
 
 
-def _numbered(column: pa.Array) -> tuple[list[str | None], np.ndarray]:
-    coded = column.dictionary_encode(null_encoding="encode")
-    if isinstance(coded, pa.ChunkedArray):
-        coded = coded.combine_chunks()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+def _cut(order: int) -> tuple[int, int]:
+    """What is left of (a, b) in the last `order` characters, as masks."""
+    return (1 << BITS * max(order - HALF, 0)) - 1, (1 << BITS * min(order, HALF)) - 1
 
 
-def counted(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Over all texts: language, run and how often it occurs (n). Tasks count what they read before anything is shuffled."""
+def _key(of: np.ndarray, order: int, context: bool, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of an order, or of contexts of runs of this order, in the models `of`."""
+    return mixed(a.astype(U64) ^ mixed(b.astype(U64) ^ mixed(of.astype(U64) + U64(2 * order + context + 1))))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str | None, tuple[np.ndarray, np.ndarray]] = {}
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for name, (run, n) in held.items():
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(run), pa.string()), pa.array(run.astype(np.int32)), pa.array(n)], ["lang", "run", "n"])
-            held.clear()
+def _before(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs without their last character."""
+    return a >> U64(BITS), b >> U64(BITS) | (a & U64((1 << BITS) - 1)) << U64(BITS * (HALF - 1))
 
-        for batch in small(batches):
-            names, of = _numbered(batch.column(0))
-            texts = Texts.of(batch.column(1))
-            found = runs(texts)
-            owner = np.repeat(of, np.diff(texts.ends))
-            for i, name in enumerate(names):
-                run, n = np.unique(found[owner == i], return_counts=True)
-                if name in held:
-                    both, place = np.unique(np.concatenate([held[name][0], run]), return_inverse=True)
-                    run, n = both, np.bincount(place, np.concatenate([held[name][1], n]), len(both)).astype(np.int64)
-                held[name] = run, n
-            if sum(len(run) for run, _ in held.values()) > _HELD:
-                yield from out()
-        yield from out()
-
-    return (
-        docs.select(F.col(lang).alias("lang"), text)
-        .mapInArrow(count, "lang string, run int, n bigint")
-        .groupBy("lang", "run")
-        .agg(F.sum("n").alias("n"))
-    )
 
+def counted(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Per model (own), run (a, b): how often it occurs (n). Tasks count what they read before anything is shuffled."""
 
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """What is taken off counts of 0, 1, 2 and more; plain values where the counts of counts give none."""
-    n1, n2, n3, n4 = (int((counts == k).sum()) for k in (1, 2, 3, 4))
-    if not (n1 and n2 and n3):
-        return np.array([0.0, 0.5, 0.75, 0.9])
+    def merged(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+        of, a, b, n = (np.concatenate(c) for c in zip(*held))
+        _, at, place = np.unique(_key(of, ORDER, False, a, b), return_index=True, return_inverse=True)
+        return [of[at], a[at], b[at], np.bincount(place, n, len(at)).astype(np.int64)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in small(batches):
+            a, b, ends = runs(Texts.of(batch.column(1)))
+            of = np.repeat(batch.column(0).to_numpy(), np.diff(ends))
+            held.append(merged([[of, a, b, np.ones(len(a), np.int64)]]))
+            if sum(len(h[0]) for h in held) > _HELD:
+                held = [merged(held)]
+                if len(held[0][0]) > _HELD // 2:
+                    yield _rows(held.pop())
+        if held:
+            yield _rows(merged(held))
+
+    def _rows(columns: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], ["of", "a", "b", "n"])
+
+    counts = docs.select("own", text).mapInArrow(count, "of bigint, a bigint, b bigint, n bigint")
+    return counts.groupBy("of", "a", "b").agg(F.sum("n").alias("n"))
+
+
+def discounts(counts: DataFrame) -> DataFrame:
+    """Per model what is taken off counts of 1, 2 and more; plain values where the counts of counts give none."""
+    of = counts.groupBy("of").agg(*(F.sum((F.col("n") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)))
+    n1, n2, n3, n4 = (F.col(f"n{k}").cast("double") for k in (1, 2, 3, 4))
     y = n1 / (n1 + 2 * n2)
-    return np.array([0.0, np.clip(1 - 2 * y * n2 / n1, 0.05, 0.95), np.clip(2 - 3 * y * n3 / n2, 0.1, 1.9), np.clip(3 - 4 * y * n4 / n3, 0.1, 2.9)])
+    told = (n1 > 0) & (n2 > 0) & (n3 > 0)
+    clip = lambda c, low, high: F.greatest(F.least(c, F.lit(high)), F.lit(low))
+    return of.select(
+        "of",
+        F.when(told, clip(1 - 2 * y * n2 / n1, 0.05, 0.95)).otherwise(0.5).alias("d1"),
+        F.when(told, clip(2 - 3 * y * n3 / n2, 0.1, 1.9)).otherwise(0.75).alias("d2"),
+        F.when(told, clip(3 - 4 * y * n4 / n3, 0.1, 2.9)).otherwise(0.9).alias("d3"),
+    )
 
 
-def kneser_ney(run: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each order from 1: runs and their probability, contexts and the weight left for the order below.
+def kneser_ney(counts: DataFrame) -> list[DataFrame]:
+    """For each order from 1: model, run (a, b) and its probability (chance), the weight that its context leaves for the
+    order below (rest), and whether the row stands for the context (first).
 
     The highest order has the counts, each lower one in how many ways its runs are continued to the left.
     """
-    tables = [(run.astype(np.int64), n.astype(np.int64))]
+    tables = [counts]
     for order in range(ORDER - 1, 0, -1):
-        shorter, ways = np.unique(tables[0][0] & ((1 << (BITS * order)) - 1), return_counts=True)
-        tables.insert(0, (shorter, ways))
-    out, below_runs, below = [], None, None
-    for order, (own, count) in enumerate(tables, 1):
-        place = np.argsort(own, kind="stable")
-        own, count = own[place], count[place]
-        contexts, of = np.unique(own >> BITS, return_inverse=True)
-        size = np.bincount(of, count)
-        off = discounts(count)[np.minimum(count, 3)]
-        left = np.bincount(of, off) / size
-        lower = np.full(len(own), 1 / (1 << BITS)) if order == 1 else below[np.searchsorted(below_runs, own & ((1 << (BITS * (order - 1))) - 1))]
-        chance = (count - off) / size[of] + left[of] * lower
-        out.append((own, chance, contexts, left))
-        below_runs, below = own, chance
+        shorter = [F.col(c).bitwiseAND(F.lit(m)).alias(c) for c, m in zip("ab", _cut(order))]
+        tables.insert(0, settle(tables[0].select("of", *shorter).groupBy("of", "a", "b").agg(F.count("*").alias("n")), "ways"))
+    out: list[DataFrame] = []
+    for order, own in enumerate(tables, 1):
+        a, b = F.col("a"), F.col("b")
+        context = [F.shiftright(a, BITS).alias("ca"), F.shiftright(b, BITS).bitwiseOR(F.shiftleft(a.bitwiseAND(F.lit((1 << BITS) - 1)), BITS * (HALF - 1))).alias("cb")]
+        off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+        rows = own.join(discounts(own), "of").select("of", "a", "b", "n", off.alias("off"), *context)
+        same = Window.partitionBy("of", "ca", "cb")
+        size = F.sum("n").over(same)
+        rows = rows.select("of", "a", "b", ((F.col("n") - F.col("off")) / size).alias("chance"), (F.sum("off").over(same) / size).alias("rest"), (F.min("b").over(same) == b).alias("first"))
+        if out:
+            shorter = [F.col(c).bitwiseAND(F.lit(m)) for c, m in zip("ab", _cut(order - 1))]
+            below = out[-1].select("of", F.col("a").alias("la"), F.col("b").alias("lb"), F.col("chance").alias("lower"))
+            rows = rows.withColumns({"la": shorter[0], "lb": shorter[1]}).join(below, ["of", "la", "lb"])
+        else:
+            rows = rows.withColumn("lower", F.lit(UNKNOWN))
+        chance = F.col("chance") + F.col("rest") * F.col("lower")
+        out.append(settle(rows.select("of", "a", "b", chance.alias("chance"), "rest", "first"), "chances"))
     return out
 
 
-def _key(lang: int, order: int, context: bool, run: np.ndarray) -> np.ndarray:
-    return mixed(run.astype(U64) | U64((lang << 32) | (order << 28) | (int(context) << 27)))
+def _hashed(order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, a, b, chance, rest = (batch.column(i).to_numpy().view() for i in range(5))
+            first = batch.column(5).to_numpy(zero_copy_only=False)
+            a, b = a.astype(U64), b.astype(U64)
+            keys = _key(of, order, False, a, b), _key(of[first], order, True, *_before(a[first], b[first]))
+            values = np.concatenate([chance, rest[first]]).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(values)], ["key", "value"])
+
+    return hashed
+
+
+def model_files(tables: list[DataFrame]) -> list[str]:
+    """Write hashed runs and contexts of all models in ranges of rising hashes; the files' names on the executors, in order."""
+    spark = tables[0].sparkSession
+    hashed = [t.mapInArrow(_hashed(order), "key bigint, value float") for order, t in enumerate(tables, 1)]
+    path = scratch_path(spark, "model")
+    reduce(DataFrame.union, hashed).repartitionByRange("key").sortWithinPartitions("key").write.parquet(path)
+    return shared_parts(spark, path)
 
 
 class Model:
-    """The mapped model: hashed runs and contexts of all languages, sorted, with their values."""
-
-    def __init__(self, arrays: list[np.ndarray], langs: list[str | None]):
-        self.keys, self.values = arrays
-        self.langs = {name: i for i, name in enumerate(langs)}
-
-    @staticmethod
-    def arrays(counts: Iterator[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
-        """From the runs and counts of each language in turn."""
-        keys, values = [np.zeros(0, U64)], [np.zeros(0, np.float32)]
-        for lang, (run, n) in enumerate(counts):
-            for order, (own, chance, contexts, left) in enumerate(kneser_ney(run, n), 1):
-                keys += [_key(lang, order, False, own), _key(lang, order, True, contexts)]
-                values += [chance.astype(np.float32), left.astype(np.float32)]
-        key, value = np.concatenate(keys), np.concatenate(values)
-        place = np.argsort(key, kind="stable")
-        return [key[place], value[place]]
-
-    def _get(self, keys: np.ndarray, absent: float) -> np.ndarray:
+    """The mapped models: hashed runs and contexts, sorted, with their values."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+
+    def _get(self, keys: np.ndarray) -> np.ndarray:
+        """The values of the keys, -1 where there is none."""
         if not len(self.keys):
-            return np.full(len(keys), absent)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.values[at], absent).astype(np.float64)
-
-    def chances(self, lang: str | None, run: np.ndarray) -> np.ndarray:
-        """The probability of each run's last symbol after the others."""
-        i = self.langs[lang]
-        out = np.full(len(run), 1 / (1 << BITS))
-        for order in range(1, ORDER + 1):
-            own = run.astype(np.int64) & ((1 << (BITS * order)) - 1)
-            seen = self._get(_key(i, order, False, own), -1)
-            out = np.where(seen >= 0, seen, self._get(_key(i, order, True, own >> BITS), 1) * out)
+            return np.full(len(keys), -1.0)
+        keys = keys.view(np.int64)
+        order = np.argsort(keys)
+        at = np.empty(len(keys), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.keys, keys[order]), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.values[at], -1).astype(np.float64)
+
+    def chances(self, of: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The probability of each run's last character after the others; runs that are not known go on to shorter ones."""
+        out, open_ = np.ones(len(a)), np.arange(len(a))
+        for order in range(ORDER, 0, -1):
+            a, b = (c & U64(m) for c, m in zip((a, b), _cut(order)))
+            seen = self._get(_key(of, order, False, a, b))
+            known = seen >= 0
+            out[open_[known]] *= seen[known]
+            open_, of, a, b = open_[~known], of[~known], a[~known], b[~known]
+            rest = self._get(_key(of, order, True, *_before(a, b)))
+            out[open_] *= np.where(rest >= 0, rest, 1)
+        out[open_] *= UNKNOWN
         return out
 
-    def bits(self, langs: list[str | None], of: np.ndarray, texts: Texts) -> np.ndarray:
-        """Per text the mean of -log2 of its symbols' probabilities; 0 for an empty text."""
-        found = runs(texts)
-        owner = np.repeat(of, np.diff(texts.ends))
-        each = np.zeros(len(found))
-        for k, name in enumerate(langs):
-            mine = owner == k
-            own = found[mine]
-            distinct = np.unique(own)
-            each[mine] = -np.log2(self.chances(name, distinct))[np.searchsorted(distinct, own)]
+    def bits(self, of: np.ndarray, texts: Texts) -> np.ndarray:
+        """Per text the mean of -log2 of its characters' probabilities; 0 for an empty text."""
+        a, b, ends = runs(texts)
+        of = np.repeat(of, np.diff(ends))
+        _, at, place = np.unique(_key(of, ORDER, False, a, b), return_index=True, return_inverse=True)
+        each = -np.log2(self.chances(of[at], a[at], b[at]))[place]
         total = np.concatenate([[0], np.cumsum(each)])
-        size = np.diff(texts.ends)
-        return (total[texts.ends[1:]] - total[texts.ends[:-1]]) / np.maximum(size, 1)
+        return (total[ends[1:]] - total[ends[:-1]]) / np.maximum(np.diff(ends), 1)
 
 
 def rule_counts(texts: Texts) -> list[np.ndarray]:
@@ -223,22 +247,16 @@ RULE_COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_w
 
 
 def measured(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang") -> DataFrame:
-    """Per row of `docs`: key, language, the counts of the rules, and bits: the mean surprise of a symbol."""
-    counts = settle(counted(docs, text, lang), "runs")
-    names = [r[0] for r in counts.select("lang").distinct().orderBy(F.col("lang").asc_nulls_first()).collect()]
-
-    def of_each() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for name in names:
-            own = counts.where(F.col("lang").eqNullSafe(F.lit(name))).select("run", "n").toArrow()
-            yield own.column("run").to_numpy(), own.column("n").to_numpy()
-
-    file = shared_file(docs.sparkSession, array_file(Model.arrays(of_each())), "runs-model")
+    """Per row of `docs`: key, language, the counts of the rules, and bits: the mean surprise of a character."""
+    fold = F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(FOLDS))
+    model = lambda f: F.xxhash64(F.lit(ORDER), F.col(lang).cast("string"), f)
+    files = model_files(kneser_ney(settle(counted(docs.select(model(fold).alias("own"), text), text), "runs")))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(mapped_arrays(SparkFiles.get(file)), names)
-        for batch in small(batches, 2):
-            texts = Texts.of(batch.column(2))
-            columns = [*rule_counts(texts), model.bits(*_numbered(batch.column(1)), texts)]
+        model = Model(*mapped_parts(files, {"key": np.int64, "value": np.float32}))
+        for batch in small(batches, 3):
+            texts = Texts.of(batch.column(3))
+            columns = [*rule_counts(texts), model.bits(batch.column(2).to_numpy(), texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, columns)], [key, "lang", *RULE_COLUMNS, "bits"])
 
     schema = T.StructType(
@@ -246,7 +264,8 @@ def measured(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str
         + [T.StructField(c, T.LongType()) for c in RULE_COLUMNS]
         + [T.StructField("bits", T.DoubleType())]
     )
-    return docs.select(key, F.col(lang).cast("string").alias("lang"), text).mapInArrow(measure, schema)
+    own = docs.select(F.col(key), F.col(lang).cast("string").alias("lang"), model(F.lit(FOLDS - 1).cast("long") - fold).alias("_other"), F.col(text))
+    return own.mapInArrow(measure, schema)
 
 
 def base_failed() -> Column:
@@ -269,7 +288,7 @@ def bands(rows: DataFrame, spreads: float = SPREADS, floor: float = FLOOR) -> Da
 def rules(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang") -> DataFrame:
     """One row per row of `docs`: key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, bits.
 
-    A text that passes the limits is kept if its bits a symbol (log2 of its perplexity) lie in the band of its
+    A text that passes the limits is kept if its bits a character (log2 of its perplexity) lie in the band of its
     language. A null text counts as empty and fails, a null language is one of its own. The counts of the model and the bands
     cover all rows; bands come from texts that pass the limits. Repeated rows get equal answers, null keys stay, further columns
     are not looked at, an empty table gives no rows.
