@@ -6,12 +6,16 @@ encoding gives. Between stages rows are written to the shared scratch folder and
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from jangbu.llm import bpe, exact_dedup, mixing, near_dedup, quality
 from jangbu.session import settle
 
+#: Least similarity of the five-word shingle sets of near duplicates.
+NEAR = Fraction(80, 100)
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -27,7 +31,7 @@ def different_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def unlike_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates, that with the smallest doc_id."""
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, limit=NEAR)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,8 +8,8 @@
    the members outside the bucket's largest component meet all others, in blocks of bounded size.
 
 A comparison looks at the signatures batch by batch and ends when the chance that the similarity reaches the limit,
-given the agreement so far, falls below `miss`; what survives is compared on the full sets. At the default bands a pair at the
-limit shares no bucket with a chance below 3e-7.
+given the agreement so far, falls below `miss`; what survives is compared on the full sets. Bands are chosen for the limit: a pair
+at it shares no bucket with a chance below UNMET.
 """
 
 from __future__ import annotations
@@ -29,14 +29,23 @@ from jangbu.session import settle
 
 SHINGLE = 5
 LIMIT = Fraction(85, 100)
-BANDS, BAND_ROWS = 32, 6
+HASHES = 192
+UNMET = 3e-7
 MISS = 1e-9
 BATCH = 24
 #: Members of one block when a bucket is searched whole.
 BLOCK = 1000
 
-_A = mixed(np.arange(1, BANDS * BAND_ROWS + 1, dtype=U64)) | U64(1)
-_B = mixed(np.arange(1001, 1001 + BANDS * BAND_ROWS, dtype=U64))
+_A = mixed(np.arange(1, HASHES + 1, dtype=U64)) | U64(1)
+_B = mixed(np.arange(1001, 1001 + HASHES, dtype=U64))
+
+
+def banding(limit: Fraction) -> tuple[int, int]:
+    """Bands and rows in each: as many rows as let a pair at the limit miss all buckets with a chance of UNMET at most."""
+    for size in range(HASHES, 1, -1):
+        if (1 - float(limit) ** size) ** (HASHES // size) <= UNMET:
+            return HASHES // size, size
+    return HASHES, 1
 
 
 def shingled(texts: Texts, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -131,8 +140,9 @@ def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer((ends * values.itemsize).astype(np.int64)), pa.py_buffer(raw)]).cast(pa.binary())
 
 
-def sketched(docs: DataFrame, text: str, key: str) -> DataFrame:
+def sketched(docs: DataFrame, text: str, key: str, limit: Fraction = LIMIT) -> DataFrame:
     """Per row: key, set size, a 128-bit fingerprint of the set (low, high) and a number for each band; none for an empty set."""
+    n_bands, band_rows = banding(limit)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
@@ -140,15 +150,16 @@ def sketched(docs: DataFrame, text: str, key: str) -> DataFrame:
             size = np.diff(ends)
             full = np.flatnonzero(size)
             sums = [np.zeros(len(size), U64), np.zeros(len(size), U64)]
-            bands = np.zeros((len(full), BANDS), U64)
+            bands = np.zeros((len(full), n_bands), U64)
             if len(full):
                 for salt, out in enumerate(sums):
                     out[full] = np.add.reduceat(mixed(found + U64(salt * 0x9E3779B97F4A7C15 + 1)), ends[:-1][full])
-                rows = signatures(found, np.append(ends[:-1][full], ends[-1])).astype(U64).reshape(len(full), BANDS, BAND_ROWS)
-                bands += np.arange(BANDS, dtype=U64)
-                for k in range(BAND_ROWS):
+                signed = signatures(found, np.append(ends[:-1][full], ends[-1]))[:, : n_bands * band_rows]
+                rows = signed.astype(U64).reshape(len(full), n_bands, band_rows)
+                bands += np.arange(n_bands, dtype=U64)
+                for k in range(band_rows):
                     bands = mixed(bands ^ rows[:, :, k])
-            at = np.concatenate([[0], np.cumsum(np.where(size > 0, BANDS, 0))]).astype(np.int32)
+            at = np.concatenate([[0], np.cumsum(np.where(size > 0, n_bands, 0))]).astype(np.int32)
             lists = pa.ListArray.from_arrays(at, pa.array(bands.ravel().view(np.int64)))
             columns = [pa.array(size), *(pa.array(s.view(np.int64)) for s in sums), lists]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [key, "n_shingles", "low", "high", "bands"])
@@ -178,12 +189,12 @@ def _with_sets(docs: DataFrame, text: str) -> DataFrame:
     return docs.select("node", text).mapInArrow(sets, schema)
 
 
-def _pairs_linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _pairs_linked(pairs: DataFrame, sets: DataFrame, limit: Fraction) -> DataFrame:
     """The pairs (a, b) whose sets reach the limit."""
     of = lambda c: sets.select(F.col("node").alias(c), F.col("signature").alias(f"{c}_sign"), F.col("shingles").alias(f"{c}_set"))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        verify = Verifier()
+        verify = Verifier(limit)
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK):
                 batch = whole.slice(at, BLOCK)
@@ -203,7 +214,7 @@ def _pairs_linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.mapInArrow(decide, T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
 
 
-def _searched(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _searched(members: DataFrame, sets: DataFrame, limit: Fraction) -> DataFrame:
     """Links between members of a bucket that are in different components, for rows (bucket, node, component).
 
     A block holds up to BLOCK members of the bucket's largest component and up to BLOCK others, which are
@@ -236,7 +247,7 @@ def _searched(members: DataFrame, sets: DataFrame) -> DataFrame:
     placed = blocks.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        verify, held = Verifier(), []
+        verify, held = Verifier(limit), []
         for group in _groups(batches, held):
             found = _block_links(verify, group)
             if found:
@@ -294,7 +305,7 @@ def _one(table: pa.Table, name: str) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", limit: Fraction = LIMIT) -> DataFrame:
     """One row per row of `docs`: key, n_shingles, component_id (the smallest key reachable by links), kept.
 
     A-Z count as a-z. Texts without words, null ones included, have no set and are linked with nothing. Rows of a repeated
@@ -302,7 +313,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     without a key takes the component of an equal set that has one, and is linked with nothing else. Further columns
     are not looked at; an empty table gives no rows.
     """
-    sketch = settle(sketched(docs, text, key), "sketches")
+    sketch = settle(sketched(docs, text, key, limit), "sketches")
     classes = settle(sketch.where("n_shingles > 0").groupBy("low", "high").agg(F.min(key).alias("node")), "classes")
     speaker = sketch.join(classes, ["low", "high"]).where(F.col(key) == F.col("node"))
     members = settle(speaker.select("node", F.explode("bands").alias("bucket")).distinct(), "members")
@@ -312,9 +323,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     sets = settle(_with_sets(docs.select(F.col(key).alias("node"), F.col(text).alias("text")).join(nodes, "node"), "text"), "sets")
 
     first = shared.where("node != root").groupBy(F.col("node").alias("a")).agg(F.min("root").alias("b"))
-    links = settle(_pairs_linked(first, sets), "first_links")
+    links = settle(_pairs_linked(first, sets, limit), "first_links")
     apart = settle(_still_apart(shared, components(links)), "apart")
-    more = settle(_searched(apart, sets), "more_links")
+    more = settle(_searched(apart, sets, limit), "more_links")
     reached = components(links.union(more))
 
     of_class = classes.join(reached, "node", "left").select("low", "high", F.coalesce("component", "node").alias("component_id"))
@@ -323,9 +334,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     return told.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
 
 
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", limit: Fraction = LIMIT) -> DataFrame:
     """The rows of `docs`, with all columns, without those that are not kept; rows without a key stay."""
-    gone = near_duplicates(docs, text, key).where("not kept").select(F.col(key).alias("_gone")).distinct()
+    gone = near_duplicates(docs, text, key, limit).where("not kept").select(F.col(key).alias("_gone")).distinct()
     return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
 
 
