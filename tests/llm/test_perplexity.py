@@ -46,3 +46,21 @@ def test_a_text_does_not_vouch_for_itself(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("lang", F.lit("en"))
     bits = {r.doc_id: r.bits for r in perplexity.measured(docs).collect()}
     assert min(bits[i] for i in (40, 41, 42)) > 4 * max(bits[i] for i in range(40))
+
+
+def test_word_salad_and_junk_are_rejected(spark):
+    rng = np.random.default_rng(5)
+    pick = lambda *words: words[rng.integers(len(words))]
+
+    def sentence():
+        who = lambda: f"{pick('the', 'an', 'every')} {pick('old', 'eager', 'idle')} {pick('farmer', 'uncle', 'teacher', 'sailor')}"
+        return f"{who()} {pick('sees', 'greets', 'follows')} {who()} {pick('near', 'behind', 'under')} {pick('our', 'your')} {pick('bridge', 'tower', 'garden')}.".capitalize()
+
+    clean = [" ".join(sentence() for _ in range(rng.integers(6, 30))) for _ in range(200)]
+    salad = [" ".join(rng.permutation(t.split())) for t in clean[:8]]
+    junk = ["".join(rng.choice(list("etaoin shrdlu "), 500)) for _ in range(8)]
+    docs = spark.createDataFrame(list(enumerate([*clean, *salad, *junk])), "doc_id long, text string").withColumn("lang", F.lit("en"))
+    rows = perplexity.measured(docs).withColumn("base_failed", F.lit(False))
+    told = rows.crossJoin(perplexity.bands(rows)).select("doc_id", perplexity._away().between(F.col("low"), F.col("high")).alias("kept"))
+    kept = {r.doc_id for r in told.collect() if r.kept}
+    assert not kept & set(range(200, 216)) and len(kept) >= 0.95 * 200
