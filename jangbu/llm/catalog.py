@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from jangbu.llm import bpe, exact_dedup, language, mixing, near_dedup, perplexity, quality, repeats, token_counts, urls
+from jangbu.llm import bpe, exact_dedup, language, mixing, near_dedup, negatives, perplexity, prefix_trie, quality, repeats, token_counts, topk, urls
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -76,8 +77,25 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beginnings that conversations share, after each took the first turns of its family's first one."""
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations")).drop("turn_name")
+
+
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector with all others."""
+    return topk.search(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten rows of other labels at 30 to 90 percent of the score of each of an anchor's five positives."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(_table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_round_trip, op2_mix_sources, op3_quality, op4_repeated_strings, op5_exact_dedup, op6_quality_rules, op7_language, op8_near_dedup, op9_url_rules, op10_token_counts)
+    f.__name__: f for f in (op1_bpe_round_trip, op2_mix_sources, op3_quality, op4_repeated_strings, op5_exact_dedup, op6_quality_rules, op7_language, op8_near_dedup, op9_url_rules, op10_token_counts, op11_prefix_trie, op12_top_k, op13_hard_negatives)
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -117,7 +135,61 @@ fits AS (SELECT n, arg_max(of_host || of_path, length(of_host || of_path)) AS ru
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN fits USING (n)
 """
 
+#: The unsigned crc32 of the ids, the regrown conversations, and a row for each of their beginnings.
+TRIE = """
+WITH RECURSIVE ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (SELECT conv_id, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda c, k: xor(c >> 1, 3988292384::BIGINT * (c & 1)))) AS r FROM ids),
+heads AS (SELECT conv_id, conv_id - conv_id % 5 AS first, xor(r, 4294967295::BIGINT) % 9 AS h FROM crc),
+turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+          sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS n FROM conversations WHERE conv_id IS NOT NULL),
+again AS (SELECT h.conv_id, t.role, t.text, t.n FROM heads h JOIN turns t ON t.conv_id = h.first AND t.n <= h.h
+          UNION ALL SELECT h.conv_id, t.role, t.text, 1000000000000 + t.n FROM heads h JOIN turns t ON t.conv_id = h.conv_id AND t.n > h.h),
+lists AS (SELECT i.conv_id, coalesce(list(struct_pack(role := role, text := text) ORDER BY n) FILTER (n IS NOT NULL), []) AS turns
+          FROM ids i LEFT JOIN again a USING (conv_id) GROUP BY 1),
+depths AS (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM lists),
+nodes AS (SELECT turns[1:depth] AS prefix, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+          sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(turns) = depth), '')) AS ends_sha256
+          FROM depths GROUP BY turns[1:depth]),
+kids AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+own AS (SELECT n.*, coalesce(n_children, 0) AS n_children, (n_children IS NULL)::BIGINT AS leaf,
+        CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(n.prefix[depth].text) ELSE 0 END AS saved FROM nodes n LEFT JOIN kids k ON n.prefix = k.prefix),
+above AS (SELECT unnest([prefix[1:k] FOR k IN range(depth + 1)]) AS prefix, leaf, saved FROM own),
+sums AS (SELECT prefix, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM above GROUP BY 1)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves, s.saved_tokens, o.ends_sha256
+FROM own o JOIN sums s ON o.prefix = s.prefix LEFT JOIN nodes p ON o.depth > 0 AND p.prefix = o.prefix[1:o.depth - 1]
+"""
+
+def _vectors(scale: int) -> str:
+    return f"""rows AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+
+TOP_K = f"""
+WITH {_vectors(1024)},
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+           FROM rows q JOIN rows c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+NEGATIVES = f"""
+WITH {_vectors(256)},
+named AS (SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM rows WHERE label IS NOT NULL),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+           FROM named a JOIN named b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+near AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM scored WHERE same),
+pairs AS (SELECT p.anchor_id, p.vec_id AS positive_id, q.vec_id AS negative_id, p.score AS positive_score, q.score AS negative_score,
+          row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY q.score DESC, q.vec_id)::INTEGER AS rank
+          FROM near p JOIN scored q ON p.anchor_id = q.anchor_id AND NOT q.same
+          AND 100 * q.score BETWEEN 30 * p.score AND 90 * p.score WHERE p.n <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM pairs WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_prefix_trie": TRIE,
+    "op12_top_k": TOP_K,
+    "op13_hard_negatives": NEGATIVES,
     "op2_mix_sources": MIX,
     "op9_url_rules": URLS,
     "op5_exact_dedup": """
