@@ -111,6 +111,34 @@ def scan_missing_ok(spark, folder):
     return rows.union_by_position(*frames)
 
 
+def _mixed_folder(spark, folder, label):
+    """A folder of files that hold the shops under three orders of columns, one of them with a column more."""
+    customers, suppliers = samples.shops(spark, folder)
+    even = F.col("nation") % 2 == 0
+    path = scratch_path(spark, label)
+    for frame in (
+        customers.filter(even).select("name", "nation", "balance"),
+        customers.filter(~even).select("balance", "name", "nation"),
+        suppliers.select("nation", F.lit("x").alias("unknown"), "balance", "name"),
+    ):
+        frame.write.mode("append").options(header=True).csv(path)
+    return path
+
+
+@query
+def scan_unlike_headers(spark, folder):
+    names = ["name", "nation", "balance"]
+    columns_ = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return tables.read_csv(spark, _mixed_folder(spark, folder, "unlike"), columns_)
+
+
+@query
+def scan_unlike_inferred(spark, folder):
+    """The same folder with types inferred; a column that some files lack is NULL there."""
+    found = tables.read_csv_inferred(spark, _mixed_folder(spark, folder, "unlike_inferred"))
+    return found.select("name", "nation", "balance", F.col("unknown").isNotNull().alias("has_more"))
+
+
 @query
 def scan_whitelist(spark, folder):
     base = scratch_path(spark, "whitelist")
@@ -189,6 +217,17 @@ def sink_csv(spark, folder):
     return tables.read_csv(spark, path, df.schema)
 
 
+@query
+def sink_csv_bom(spark, folder):
+    """Rows read back from files that begin with a byte-order mark, and whether every one does."""
+    df = samples.survey(spark, folder)
+    path = scratch_path(spark, "sink_csv_bom")
+    sinks.write_csv(df, path, bom=True)
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    marked = parts.agg(F.every(F.substring("content", 1, 3) == F.unhex(F.lit("EFBBBF"))).alias("marked"))
+    return tables.read_csv(spark, path, df.schema).withColumn("marked", marked.scalar())
+
+
 @query
 def sink_single(spark, folder):
     df = vol_district(spark, folder)

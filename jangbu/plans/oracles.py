@@ -291,6 +291,8 @@ ORACLES: dict[str, str] = {
     "scan_csv_inferred": "SELECT * FROM part",
     "scan_dialects": _SHOP_TEXTS.format(c="", s=""),
     "scan_many": _SHOP_TEXTS.format(c=", 'customer' AS source", s=", 'supplier'"),
+    "scan_unlike_headers": _SHOP_TEXTS.format(c="", s=""),
+    "scan_unlike_inferred": f"SELECT {_CUSTOMERS}, false AS has_more FROM customer UNION ALL SELECT {_SUPPLIERS}, true FROM supplier",
     "scan_missing_ok": _SHOP_TEXTS.format(c="", s=""),
     "scan_whitelist": "SELECT s_name AS name, CAST(s_nationkey AS VARCHAR) AS nation, "
     "CAST(s_acctbal AS VARCHAR) AS balance, 'supplier' AS source FROM supplier",
@@ -314,6 +316,7 @@ SELECT page_id, pos, product_id, title FROM items
 QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY page_id, pos) = 1""",
     # sinks
     "sink_csv": f"WITH {SURVEY} SELECT * FROM survey",
+    "sink_csv_bom": f"WITH {SURVEY} SELECT *, true AS marked FROM survey",
     "sink_single": _vol(SURVEY, "survey", "district_name"),
     "sink_by_category": f"WITH {SURVEY} SELECT * FROM survey",
     "sink_by_group": f"WITH {GROUP_ROWS} SELECT * FROM group_rows",

@@ -53,10 +53,13 @@ def prepare(
 
 
 def store_categories(prepared: DataFrame, folder: str, slugs: dict[str, str] = rules.CATEGORY_SLUGS) -> None:
-    """One CSV table per stored category, in a folder by its stored name, under the headers of the files."""
+    """One CSV table per stored category, in a folder by its stored name, under the headers of the files.
+
+    The files begin with a byte-order mark, as those of the survey do.
+    """
     named = prepared.withColumn("stored_as", F.create_map(*[F.lit(x) for pair in slugs.items() for x in pair])[F.col("category")])
     tables_ = sinks.with_headers(named.filter(F.col("stored_as").isNotNull()), schema.CLEAN_HEADERS)
-    sinks.write_by(tables_, "stored_as", folder)
+    sinks.write_by(tables_, "stored_as", folder, bom=True)
 
 
 def load_categories(spark: SparkSession, folder: str) -> DataFrame:

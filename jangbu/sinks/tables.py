@@ -9,21 +9,32 @@ from pyspark.sql import DataFrame
 _WRITTEN = {"header": True, "quote": '"', "escape": '"'}
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**_WRITTEN).csv(path)
+#: The byte-order mark, which some programs need to read UTF-8.
+BOM = "\ufeff"
 
 
-def write_single_csv(df: DataFrame, path: str) -> None:
+def _marked(df: DataFrame, bom: bool, *, but: str | None = None) -> DataFrame:
+    """With `bom`, the mark before the first header: every part file begins with it, and readers take it off again."""
+    first = next((c for c in df.columns if c != but), None) if bom else None
+    return df if first is None else df.withColumnsRenamed({first: BOM + first})
+
+
+def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
+    """A header and a file per task; with `bom` each file begins with a byte-order mark."""
+    _marked(df, bom).write.mode("overwrite").options(**_WRITTEN).csv(path)
+
+
+def write_single_csv(df: DataFrame, path: str, bom: bool = False) -> None:
     """One output file, written by one task: for small results only."""
-    write_csv(df.coalesce(1), path)
+    write_csv(df.coalesce(1), path, bom)
 
 
-def write_by(df: DataFrame, column: str, path: str) -> None:
-    """One directory per value of `column`; values without rows get none.
+def write_by(df: DataFrame, column: str, path: str, bom: bool = False) -> None:
+    """One directory per value of `column`; values without rows get none. With `bom` each file begins with the mark.
 
     The rebalance hint groups rows by value but splits a value that holds much of the data.
     """
-    df.hint("rebalance", column).write.mode("overwrite").options(**_WRITTEN).partitionBy(column).csv(path)
+    _marked(df, bom, but=column).hint("rebalance", column).write.mode("overwrite").options(**_WRITTEN).partitionBy(column).csv(path)
 
 
 def write_volatility(yearly: DataFrame, monthly: DataFrame, base: str, column: str = "item_group") -> None:

@@ -67,6 +67,63 @@ def test_korean_charset_needs_the_legacy_switch(spark, tmp_path):
         spark.conf.unset("spark.sql.legacy.javaCharsets")
 
 
+def test_headers_count_file_by_file(spark, tmp_path):
+    """Three orders in one folder, one of them packed, an unknown column, a repeated one, files without rows or text."""
+    import gzip
+
+    folder = tmp_path / "mixed [1]"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,name,price\n1,apple,100\n", encoding="utf-8-sig")
+    (folder / "b.csv.gz").write_bytes(gzip.compress(b"\nid,price,name\r\n2,200,pear\r\n"))
+    (folder / "c.csv").write_text('price,"junk, or ""not""",id,id,name\n300,x,3,9,plum\n', encoding="utf-8")
+    (folder / "d.csv").write_text("name,id\n", encoding="utf-8")
+    (folder / "e.csv").write_text("", encoding="utf-8")
+    kinds = schema._strings(["id", "name", "price"])
+    path = str(tmp_path / "mixed *")
+    assert plain(tables.read_csv(spark, path, kinds)) == [("1", "apple", "100"), ("2", "pear", "200"), ("3", "plum", "300")]
+    assert tables.read_csv(spark, str(folder / "e.csv").replace("[1]", "*"), kinds, also={"source": tables._stem()}).columns[-1] == "source"
+    (folder / "f.csv").write_text("name,price\nfig,4.5\n", encoding="utf-8")
+    (folder / "c.csv").unlink()
+    inferred = tables.read_csv_inferred(spark, path)
+    assert dict(inferred.dtypes)["price"] == "double" and dict(inferred.dtypes)["id"] == "int"
+    assert plain(inferred.select("id", "name", "price")) == [(1, "apple", 100.0), (2, "pear", 200.0), (None, "fig", 4.5)]
+
+
+def test_unlike_headers_under_named_folders(spark, tmp_path):
+    for kind, text in (("x", "id,name\n1,a\n"), ("y", "name,id\nb,2\n")):
+        (tmp_path / f"kind={kind}").mkdir()
+        (tmp_path / f"kind={kind}" / "p.csv").write_text(text, encoding="utf-8")
+    assert plain(tables.read_csv(spark, str(tmp_path), schema._strings(["id", "kind", "name"]))) == [("1", "x", "a"), ("2", "y", "b")]
+
+
+def test_many_files_need_no_job_each(spark, tmp_path):
+    for i in range(1000):
+        header = ["id", "name"] if i % 2 else ["name", "id"]
+        (tmp_path / f"f{i}.csv").write_text(",".join(header) + "\n" + ",".join(c + str(i) for c in header) + "\n", encoding="utf-8")
+    kinds, sc = schema._strings(["id", "name"]), spark.sparkContext
+    sc.setJobGroup("many files", "")
+    try:
+        found = tables.read_whitelist(spark, str(tmp_path), [f"f{i}" for i in range(0, 1000, 2)] + ["f1"], kinds)
+        got = {tuple(r) for r in found.collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {(f"id{i}", f"name{i}", f"f{i}") for i in [*range(0, 1000, 2), 1]}
+    assert len(sc.statusTracker().getJobIdsForGroup("many files")) <= 6
+
+
+@pytest.mark.parametrize("name", ["csv", "single", "by"])
+def test_every_part_begins_with_the_mark(spark, tmp_path, name):
+    df = spark.range(20).selectExpr("concat('k', id % 3) AS kind", "id", "concat('값', id) AS text").repartition(4)
+    write = {"csv": sinks.write_csv, "single": sinks.write_single_csv, "by": lambda d, p, bom: sinks.write_by(d, "kind", p, bom)}[name]
+    write(df, str(tmp_path / "marked"), bom=True)
+    parts = list((tmp_path / "marked").rglob("part-*.csv"))
+    assert parts and all(p.read_bytes()[:3] == b"\xef\xbb\xbf" and b"\xef\xbb\xbf" not in p.read_bytes()[3:] for p in parts)
+    assert plain(tables.read_csv(spark, str(tmp_path / "marked"), df.schema)) == plain(df)
+    assert set(tables.read_csv_inferred(spark, str(tmp_path / "marked")).columns) == set(df.columns)
+    write(df, str(tmp_path / "plain"), bom=False)
+    assert all(p.read_bytes()[:1] != b"\xef" for p in (tmp_path / "plain").rglob("part-*.csv"))
+
+
 def test_many_whitelist_and_missing(spark, tmp_path):
     for stem in ("data_2022", "data_2023", "other"):
         (tmp_path / f"{stem}.csv").write_text(f"id\n{stem}-1\n", encoding="utf-8")
