@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jangbu import rules
+from jangbu.functions.measures import moments
 from jangbu.operators.columns import quoted
 from jangbu.operators.outliers import exact_fences, within
 from jangbu.operators.quantiles import exact_quantiles, frequencies
@@ -71,48 +72,49 @@ def value_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.na.drop(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _weighted_summary(freq: DataFrame, keys: list[str], value: str, n: str) -> DataFrame:
-    """count, mean, std, min, quartiles, max per group from value counts."""
-    present = freq.na.drop(subset=[value])
-    means = settle(
-        present.groupBy(*keys).agg(
+def _shifted_moments(df: DataFrame, keys: list[str], value: str, n: str, center: str) -> DataFrame:
+    """count, mean, std, min and max per group from value counts, in one aggregate whose sums any tasks can merge.
+
+    Distances from `center` are summed, a number within the group's range that is the same for all its rows. That bounds what
+    squares of large values lose: the variance is at least the squared range divided by twice the count.
+    """
+    off = F.col(value) - F.col(center)
+    squares = F.greatest(F.col("_squares") - F.col("_sum") * F.col("_sum") / F.col("count"), F.lit(0.0))
+    return (
+        df.groupBy(*keys)
+        .agg(
             F.sum(n).alias("count"),
-            (F.sum(F.col(value) * F.col(n)) / F.sum(n)).alias("mean"),
             F.min(value).alias("min"),
             F.max(value).alias("max"),
-        ),
-        "means",
-    )
-    squares = (
-        present.join(means.select(*keys, "mean"), keys)
-        .groupBy(*keys)
-        .agg(F.sum(F.col(n) * F.pow(F.col(value) - F.col("mean"), 2)).alias("_squares"))
-    )
-    quantiles = exact_quantiles(present, keys, value, _SUMMARY_PROBS, n).drop("n_values")
-    std = F.sqrt(F.try_divide(F.col("_squares"), F.nullif(F.col("count") - 1, F.lit(0))))
-    return (
-        means.join(squares, keys)
-        .join(quantiles, keys)
-        .select(*keys, "count", "mean", std.alias("std"), "min", *_SUMMARY_PROBS, "max")
+            F.max(center).alias("_center"),
+            F.sum(off * F.col(n)).alias("_sum"),
+            F.sum(off * off * F.col(n)).alias("_squares"),
+        )
+        .withColumn("mean", F.col("_center") + F.col("_sum") / F.col("count"))
+        .withColumn("std", F.sqrt(F.try_divide(squares, F.nullif(F.col("count") - 1, F.lit(0)))))
     )
 
 
+_DESCRIBED = ["count", "mean", "std", "min", *_SUMMARY_PROBS, "max"]
+
+
 def price_summary(df: DataFrame, category: str = "category", item: str = "item_name", price: str = "price") -> DataFrame:
     """Description of the price per category, before and after outlier removal by item.
 
     One pass over the rows gives (category, item, price) counts; all else is computed from these.
     """
-    keys = [category, item]
-    counts = settle(frequencies(df.na.drop(subset=keys), keys, price), "price_counts")
+    keys, group = [category, item], [category, "stage"]
+    counts = settle(frequencies(df.na.drop(subset=[*keys, price]), keys, price), "price_counts")
     bounds = exact_fences(counts, keys, price, "n")
+    # The mean of the middles of the items' fences lies within the prices of a category, outliers or not.
+    middle = (F.col("lower") + F.col("upper")) / 2
+    finite = F.when(F.abs(middle) < float("inf"), middle)
+    centers = bounds.groupBy(category).agg(F.coalesce(F.avg(finite), F.lit(0.0)).alias("_middle"))
     stages = F.array_compact(F.array(F.lit("before"), F.when(within(price), F.lit("after"))))
-    staged = (
-        counts.join(bounds, keys, "left")
-        .select(category, F.explode(stages).alias("stage"), price, "n")
-        .groupBy(category, "stage", price)
-        .agg(F.sum("n").alias("n"))
-    )
-    return _weighted_summary(settle(staged, "staged_counts"), [category, "stage"], price, "n")
+    staged = counts.join(bounds.join(centers, category), keys).select(category, F.explode(stages).alias("stage"), price, "n", "_middle")
+    staged = settle(staged, "staged_counts")
+    quantiles = exact_quantiles(staged, group, price, _SUMMARY_PROBS, "n").drop("n_values")
+    return _shifted_moments(staged, group, price, "n", "_middle").join(quantiles, group).select(*group, *_DESCRIBED)
 
 
 def describe_all(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -134,8 +136,10 @@ def describe_all(df: DataFrame, columns: list[str]) -> DataFrame:
             .select("column", "count", "unique", F.col("_best.value").alias("top"), (-F.col("_best.m")).alias("freq"))
         )
     if numeric:
-        freq = settle(frequencies(_melted(df, numeric, "double"), ["column"], "value"), "value_counts")
-        parts.append(_weighted_summary(freq, ["column"], "value", "n"))
+        cells = _melted(df, numeric, "double").na.drop(subset=["value"])
+        whole = cells.groupBy("column").agg(*moments("value"), F.min("value").alias("min"), F.max("value").alias("max"))
+        quantiles = exact_quantiles(cells, ["column"], "value", _SUMMARY_PROBS).drop("n_values")
+        parts.append(whole.join(quantiles, "column").select("column", *_DESCRIBED))
     result = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
     return result
 

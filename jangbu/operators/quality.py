@@ -59,9 +59,11 @@ def repair_zeros(
 ) -> DataFrame:
     """Impute the zeros of low-band items by the (item, year) median and drop high-band items.
 
-    The ratios are one row an item, summed before any shuffle; only rows of low-band items are counted for the
-    medians. These include the zeros and may be 0 themselves. Without a median (missing year) the zero stays.
+    The rows are evaluated and stored once, for ratios, medians and result. The ratios are one row an item, summed before
+    any shuffle; only rows of low-band items are counted for the medians. These include the zeros and may be 0 themselves.
+    Without a median (missing year) the zero stays.
     """
+    df = settle(df, "facts")
     bands = settle(zero_band(zero_ratio(df, item, price), limit), "zero_bands")
     medians = settle(group_median(low_zero_rows(df, bands, item), [item, year], price, "_median").drop("n_values"), "medians")
     kept = drop_high_zero_items(df, bands, item) if drop_high else df
@@ -80,8 +82,9 @@ def repair_zeros_monthly_approx(
     """The variant with approximate (item, year-month) medians.
 
     Ratios are over all rows; a zero without a median becomes NULL; rows of high-band items and rows without
-    an item name are dropped.
+    an item name are dropped. The rows are evaluated and stored once.
     """
+    df = settle(df, "facts")
     bands = settle(zero_band(zero_ratio_inner(df, item, price), limit), "zero_bands")
     low = low_zero_rows(df, bands, item)
     medians = approx_group_median(low, [item, month_key], price, name="_median")

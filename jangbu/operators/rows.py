@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from jangbu import rules
 from jangbu.functions import keywords
 from jangbu.operators.columns import common_columns
-from jangbu.session import scratch_path
+from jangbu.session import scratch_path, settle
 
 
 def drop_zero(df: DataFrame, price: str = "price") -> DataFrame:
@@ -106,16 +106,73 @@ def global_row_number(df: DataFrame, order: list[str], name: str = "row_number")
     )
 
 
-def head_slice(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """The first `n` rows of the total order, whatever the size of `n`."""
-    return global_row_number(df, order, "_row").filter(F.col("_row") <= n).drop("_row")
+#: Keys drawn to find borders, and keys that one task may sort.
+_DRAWN, _SORTED = 20_000, 50_000
+
+
+def _border(keys: DataFrame, at: int, size: int) -> tuple[Column, int, int]:
+    """The key at a 1-based position of the order of `keys` (one column `key`, `size` rows), as a value of a query, how
+    many rows are below it and how many equal it.
+
+    Rows are counted, not moved: a sample gives two borders that enclose the position, counts below and at them tell the
+    position inside, and so on until few keys are left, which are sorted. A border that is the wanted key ends the search.
+    """
+    key, below, seed = F.col("key"), 0, 0
+    inside = keys
+    while size > _SORTED:
+        seed += 1
+        drawn = settle(inside.sample(min(1.0, _DRAWN / size), seed), "drawn_keys")
+        n = drawn.count()
+        if not n:
+            continue
+        middle, spread = (at - 0.5) / size * n, 4 * ((at / size) * (1 - at / size) * n) ** 0.5 + 2
+        ends = [drawn.orderBy("key").offset(int(min(n - 1, max(0, e)))).limit(1) for e in (middle - spread, middle + spread)]
+        ends = [settle(e, "border_key") for e in ends]
+        low, high = (e.scalar() for e in ends)
+        counts = [F.count_if(c) for c in (key < low, key <= low, key < high, key <= high)]
+        under, to_low, under_high, to_high = inside.agg(*counts).first()
+        if at <= under:
+            inside, size = inside.filter(key < low), under
+        elif at <= to_low:
+            return low, below + under, to_low - under
+        elif at <= under_high:
+            inside, size, at, below = inside.filter((key > low) & (key < high)), under_high - to_low, at - to_low, below + to_low
+        elif at <= to_high:
+            return high, below + under_high, to_high - under_high
+        else:
+            inside, size, at, below = inside.filter(key > high), size - to_high, at - to_high, below + to_high
+    inside = settle(inside, "near_border")
+    cut = settle(inside.orderBy("key").offset(at - 1).limit(1), "border_key").scalar()
+    under, equal = inside.agg(F.count_if(key < cut), F.count_if(key == cut)).first()
+    return cut, below + under, equal
+
+
+def head_slice(df: DataFrame, n: int, order: list[str], size: int | None = None) -> DataFrame:
+    """The first `n` rows of the total order, whatever the size of `n`; `size` is the number of rows where it is known.
+
+    The key of the last row is found by counting and the rows are filtered where they stand: nothing is sorted or copied
+    but keys near it. Columns not in `order` break ties, nulls come first; of equal rows as many stay as belong to the head.
+    `df` must give the same rows each time it is read.
+    """
+    size = df.count() if size is None else size
+    if n >= size:
+        return df
+    if n <= 0:
+        return df.limit(0)
+    names = [*order, *[c for c in df.columns if c not in order]]
+    key = F.struct(*[F.col(f"`{c}`") for c in names])
+    cut, below, equal = _border(df.select(key.alias("key")), n, size)
+    if below + equal == n:
+        return df.filter(key <= cut)
+    # Equal rows on both sides of the border are alike in all columns: as many as are wanted are made from one.
+    same = df.sparkSession.range(n - below).select(cut.alias("_row")).select(*[F.col("_row")[c].alias(c) for c in df.columns])
+    return df.filter(key < cut).union(same)
 
 
 def drop_tail(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """All but the last `n` rows of the total order."""
-    numbered = global_row_number(df, order, "_row")
-    last = numbered.agg(F.max("_row")).scalar()
-    return numbered.filter(F.col("_row") <= last - n).drop("_row")
+    size = df.count()
+    return head_slice(df, size - n, order, size)
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -68,10 +68,6 @@ def _weighted(counts: DataFrame, idf: DataFrame, once: Column, needed: Column |
     return found.withColumn("weight", F.col("tf") * F.coalesce("idf", once))
 
 
-def _length() -> Column:
-    return F.sqrt(F.sum(F.col("weight") * F.col("weight")))
-
-
 def tfidf_weights(df: DataFrame, key: str, text: str) -> DataFrame:
     """Rows (key, gram, weight), the weights of a text having length 1."""
     counts = settle(gram_counts(df, key, text), "gram_counts")
@@ -81,25 +77,22 @@ def tfidf_weights(df: DataFrame, key: str, text: str) -> DataFrame:
     return raw.select(key, "gram", (F.col("weight") / F.sqrt(squares)).alias("weight"))
 
 
-def _target_columns(idf: DataFrame, targets: list[str]) -> DataFrame:
-    """Rows (gram, _t0, _t1, ...): the weight of the gram in each target, for grams that occur in the texts."""
+def _target_grams(idf: DataFrame, targets: list[str]) -> DataFrame:
+    """An inverted index of the targets: (gram, _targets), with (target, share) of each target that holds the gram.
+
+    Only grams that occur in the texts, weights of a target having length 1.
+    """
     terms = (
-        idf.sparkSession.createDataFrame(list(enumerate(targets)), "_target int, _text string")
-        .select("_target", tokens(F.col("_text")).alias("_words"))
-        .select("_target", F.explode(grams(F.col("_words"))).alias("gram"))
-        .groupBy("_target", "gram")
+        idf.sparkSession.createDataFrame(list(enumerate(targets)), "target int, _text string")
+        .select("target", tokens(F.col("_text")).alias("_words"))
+        .select("target", F.explode(grams(F.col("_words"))).alias("gram"))
+        .groupBy("target", "gram")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
     # A few rows per target, so a window per target is small.
-    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("_target")))
-    shares = (
-        idf.join(F.broadcast(terms), "gram")
-        .withColumn("_w", F.col("tf") * F.col("idf"))
-        .withColumn("_share", F.col("_w") / length)
-    )
-    return shares.groupBy("gram").agg(
-        *[F.max(F.when(F.col("_target") == i, F.col("_share"))).alias(f"_t{i}") for i in range(len(targets))]
-    )
+    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy("target")))
+    shares = idf.join(terms, "gram").withColumn("_w", F.col("tf") * F.col("idf")).withColumn("share", F.col("_w") / length)
+    return shares.groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("target", "share"))).alias("_targets"))
 
 
 def max_similarity(
@@ -111,17 +104,19 @@ def max_similarity(
 ) -> DataFrame:
     """Rows (key, max_similarity): best cosine similarity to any target, above `limit` if given.
 
-    A text without a shared gram has similarity 0; a missing text has none.
+    A text without a shared gram has similarity 0; a missing text has none. Grams meet an inverted index of the targets, so
+    only shared grams make rows, one for each target that holds them, and the plan is the same for any number of targets.
     """
     counts = settle(gram_counts(df, key, text), "gram_counts")
     idf, once = inverse_frequencies(counts)
-    # The targets are a short list of the caller; their weights ride on the gram table, so texts join once.
-    wanted = settle(_target_columns(idf, targets), "target_grams")
-    table = idf.join(F.broadcast(wanted.withColumn("_wanted", F.lit(True))), "gram", "left")
-    columns = [f"_t{i}" for i in range(len(targets))]
-    products = [F.coalesce(F.sum(F.col("weight") * F.col(c)), F.lit(0.0)).alias(c) for c in columns]
-    weighted = _weighted(counts, table, once, F.col("_wanted").isNotNull())
-    sums = weighted.groupBy(key).agg(_length().alias("_norm"), *products)
-    best = F.coalesce(F.try_divide(F.array_max(F.array(*columns)), F.col("_norm")), F.lit(0.0))
-    scored = sums.select(key, best.alias("max_similarity"))
+    wanted = settle(_target_grams(idf, targets), "target_grams")
+    weighted = _weighted(counts, idf.join(wanted, "gram", "left"), once, F.col("_targets").isNotNull())
+    lines = weighted.select(key, "weight", F.posexplode_outer("_targets").alias("_at", "_entry"))
+    # The square of a gram counts once, however many targets share it.
+    square = F.when(F.coalesce("_at", F.lit(0)) == 0, F.col("weight") * F.col("weight"))
+    by_target = lines.groupBy(key, F.col("_entry.target").alias("_target")).agg(
+        F.sum(F.col("weight") * F.col("_entry.share")).alias("_product"), F.sum(square).alias("_squares")
+    )
+    best = F.coalesce(F.try_divide(F.max("_product"), F.sqrt(F.sum("_squares"))), F.lit(0.0))
+    scored = by_target.groupBy(key).agg(best.alias("max_similarity"))
     return scored if limit is None else scored.filter(F.col("max_similarity") > limit)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jangbu.functions.measures import cv, cv_or_zero, moments
@@ -38,42 +40,24 @@ def volatility(df: DataFrame, keys: list[str], price: str = "price", zero_cv: bo
 def volatility_levels(df: DataFrame, levels: dict[str, list[str]] = LEVELS, price: str = "price") -> DataFrame:
     """All levels from one pass over the rows: columns `level`, every key (NULL where unused), measures.
 
-    Rows are reduced once to moments per finest cell; the levels are rolled up from these few cells, so the
-    facts are neither read again nor multiplied by the number of levels.
+    Every task keeps count, mean and squared distance of each group of each level; one shuffle brings these states together,
+    where they are merged pairwise. Rows are neither shuffled nor read again. Groups with a missing key are left out; groups
+    without any price stay with count 0.
     """
     keys = list(dict.fromkeys(k for level in levels.values() for k in level))
-    cells = (
-        df.groupBy(*keys)
-        .agg(F.count(price).alias("_n"), F.avg(price).alias("_mean"), F.var_pop(price).alias("_var"))
-    )
-    types = {f.name: f.dataType for f in cells.schema.fields}
-    lines = [
-        F.struct(
-            F.lit(name).alias("level"),
-            *[(F.col(k) if k in level else F.lit(None).cast(types[k])).alias(k) for k in keys],
-            _present(level).alias("_whole"),
-        )
-        for name, level in levels.items()
-    ]
-    spread = cells.select("_n", "_mean", "_var", F.explode(F.array(*lines)).alias("_line")).select(
-        "_line.*", "_n", "_mean", "_var"
-    )
-    # Groups with a missing key are left out; groups without any price stay with count 0.
-    group = Window.partitionBy("level", *keys)
-    mean = F.try_divide(F.sum(F.col("_n") * F.col("_mean")).over(group), F.sum("_n").over(group))
-    squares = F.sum(F.col("_n") * (F.col("_var") + F.pow(F.col("_mean") - F.col("mean"), 2)))
+    sets = {}
+    for name, level in levels.items():
+        sets.setdefault(frozenset(level), []).append(name)
+    measured = df.select(*keys, price).groupingSets([[k for k in keys if k in s] for s in sets], *keys)
+    # A bit for each key, the first one highest, set where a level leaves the key out.
+    bits = {sum((k not in s) << (len(keys) - 1 - i) for i, k in enumerate(keys)): s for s in sets}
+    names = [F.when((F.col("_set") == bit) & _present(s), F.array(*map(F.lit, sets[s]))) for bit, s in bits.items()]
     return (
-        spread.filter("_whole")
-        .withColumn("mean", mean)
-        .groupBy("level", *keys)
-        .agg(F.max("mean").alias("mean"), squares.alias("_squares"), F.sum("_n").alias("count"))
-        .withColumn("std", F.sqrt(F.try_divide(F.col("_squares"), F.nullif(F.col("count") - 1, F.lit(0)))))
-        .select("level", *keys, "mean", "std", "count", cv(F.col("mean"), F.col("std")).alias("cv"))
+        measured.agg(F.grouping_id().alias("_set"), *moments(price))
+        .select(F.explode(F.coalesce(*names)).alias("level"), *keys, "mean", "std", "count")
+        .withColumn("cv", cv(F.col("mean"), F.col("std")))
     )
 
 
-def _present(level: list[str]):
-    whole = F.lit(True)
-    for k in level:
-        whole = whole & F.col(k).isNotNull()
-    return whole
+def _present(level) -> Column:
+    return reduce(Column.__and__, [F.col(k).isNotNull() for k in sorted(level)], F.lit(True))

@@ -298,6 +298,8 @@ ORACLES: dict[str, str] = {
     "CAST(s_acctbal AS VARCHAR) AS balance, 'supplier' AS source FROM supplier",
     "xml_rows": f"WITH {RAW} SELECT {_all_raw(remark=_NO_EMPTY)} FROM raw",
     "xml_pages": f"WITH {RAW} SELECT {_all_raw(remark=_NO_EMPTY)} FROM raw",
+    "xml_quarantine": f"WITH {RAW} SELECT 'good' AS kind, {_all_raw(remark=_NO_EMPTY)} FROM raw WHERE CAST(id AS BIGINT) % 97 <> 3 "
+    "UNION ALL BY NAME SELECT 'broken' AS kind, id FROM raw WHERE CAST(id AS BIGINT) % 97 = 3",
     "html_tiles": rf"""WITH {_FRAGMENTS.replace(_LI, _ARTICLE)}
 SELECT page_id, pos,
        CASE WHEN regexp_matches(frag, '{_H1}') THEN {_plain(f"regexp_extract(frag, '{_H1}', 1)")} END AS name,

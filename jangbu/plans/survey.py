@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,18 +20,41 @@ def combine(survey: DataFrame, records: DataFrame) -> DataFrame:
     return rows.union_outer(records, columns.align_types(survey, records.schema))
 
 
+def load_checked(
+    spark: SparkSession,
+    files: list[tables.CsvFile],
+    api_pages: str | list[str] | None = None,
+    date_prefix: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Landed survey files, plus landed API responses, under canonical names; and (file, record) of what does not parse.
+
+    `date_prefix` keeps the API records of one period (the survey's own job takes 2024); by default all stay.
+    """
+    survey = tables.read_dialects(spark, files) if files else None
+    if api_pages is None:
+        return survey, spark.createDataFrame([], f"{xml.FILE} string, {xml.RECORD} string")
+    good, bad = xml.split_rows(spark, api_pages)
+    records = xml.api_rows(good, date_prefix)
+    return records if survey is None else combine(survey, records), bad
+
+
 def load(
     spark: SparkSession,
     files: list[tables.CsvFile],
     api_pages: str | list[str] | None = None,
     date_prefix: str | None = None,
+    quarantine: str | None = None,
 ) -> DataFrame:
-    """Landed survey files, plus landed API responses, under canonical names.
+    """The rows of `load_checked`. Records that do not parse are added to the `quarantine` table, with their files.
 
-    `date_prefix` keeps the API records of one period (the survey's own job takes 2024); by default all stay.
+    They are counted in a warning where no such table is named.
     """
-    survey = tables.read_dialects(spark, files)
-    return survey if api_pages is None else combine(survey, xml.api_rows(xml.read_rows(spark, api_pages), date_prefix))
+    loaded, bad = load_checked(spark, files, api_pages, date_prefix)
+    if quarantine is not None:
+        bad.write.mode("append").parquet(quarantine)
+    elif n := bad.count():
+        warnings.warn(f"{n} API records did not parse and are left out; name a quarantine table to keep them", stacklevel=2)
+    return loaded
 
 
 def clean(raw: DataFrame) -> DataFrame:

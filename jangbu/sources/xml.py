@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jangbu import schema
+from jangbu.session import settle
 
 
 def _empty_to_null(df: DataFrame) -> DataFrame:
@@ -33,6 +34,34 @@ def read_rows(
     return _empty_to_null(reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).schema(kept).load(paths))
 
 
+#: Where a record was read, and its text.
+FILE, RECORD = "file", "record"
+
+
+def split_rows(
+    spark: SparkSession, paths: str | list[str], columns: T.StructType = schema.API, row_tag: str = "row"
+) -> tuple[DataFrame, DataFrame]:
+    """(good, bad): the records of XML files, and (file, record) of those that do not parse, from one stored read.
+
+    Files are cut at the opening tags of records, so a large one is read by many tasks, and a broken record costs neither its
+    neighbours nor its page: it is kept with its own text. A record that breaks off with its file is bad, one without content
+    is no row. Files are in UTF-8; tags inside a record may not begin with the name of its own.
+    """
+    start, end = f"<{row_tag}", f"</{row_tag}>"
+    texts = spark.read.option("lineSep", start).text(paths).select("value", F.col("_metadata.file_path").alias(FILE))
+    # What is before the first record, or a tag that only begins alike, does not go on as an opening tag does.
+    texts = texts.filter(F.col("value").rlike(r"^(?:\s[^<>]*[^<>/])?\s*>"))
+    close = F.when(F.col("value").contains(end), end).otherwise("")
+    texts = texts.select(FILE, F.concat(F.lit(start), F.substring_index("value", end, 1), close).alias(RECORD))
+    kept = T.StructType([*columns.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_xml(RECORD, kept, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    broken = F.col("_row").isNull() | F.col(f"_row.{CORRUPT}").isNotNull()
+    cells = [F.col(f"_row.{c}").alias(c) for c in columns.names]
+    stored = settle(texts.withColumn("_row", parsed).select(FILE, F.when(broken, F.col(RECORD)).alias(RECORD), *cells), "xml_rows")
+    good = stored.filter(F.col(RECORD).isNull()).select(*columns.names)
+    return _empty_to_null(good), stored.filter(F.col(RECORD).isNotNull()).select(FILE, RECORD)
+
+
 def rows_from_pages(df: DataFrame, page: str, columns: T.StructType = schema.API) -> DataFrame:
     """Every `row` element of response texts held in a column; a page that does not parse gives no rows."""
     wrapped = T.StructType([T.StructField("row", T.ArrayType(columns))])
