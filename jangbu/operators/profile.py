@@ -112,7 +112,6 @@ def price_summary(df: DataFrame, category: str = "category", item: str = "item_n
     centers = bounds.groupBy(category).agg(F.coalesce(F.avg(finite), F.lit(0.0)).alias("_middle"))
     stages = F.array_compact(F.array(F.lit("before"), F.when(within(price), F.lit("after"))))
     staged = counts.join(bounds.join(centers, category), keys).select(category, F.explode(stages).alias("stage"), price, "n", "_middle")
-    staged = settle(staged, "staged_counts")
     quantiles = exact_quantiles(staged, group, price, _SUMMARY_PROBS, "n").drop("n_values")
     return _shifted_moments(staged, group, price, "n", "_middle").join(quantiles, group).select(*group, *_DESCRIBED)
 

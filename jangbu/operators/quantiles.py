@@ -8,6 +8,8 @@ all sizes and all doubles; NaN is above every number.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,38 +49,26 @@ def exact_quantiles(
         .withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
     )
     position = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in probs.items()}
-    wanted = F.array(
-        *[
-            F.struct(F.lit(f"{name}{side}").alias("slot"), rank.cast("bigint").alias("rank"))
-            for name, pos in position.items()
-            for side, rank in (("/lo", F.floor(pos)), ("/hi", F.ceil(pos)))
-        ]
-    )
+    wanted = {
+        f"{name}/{side}": rank.cast("bigint")
+        for name, pos in position.items()
+        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos)))
+    }
 
-    def inside(end: str, n: str):
-        return lambda w: (w["rank"] < F.col(end)) & (w["rank"] >= F.col(end) - F.col(n))
+    def holds(rank: Column) -> Column:
+        return (rank < F.col("_end")) & (rank >= F.col("_end") - F.col("_n"))
 
-    chosen = (
-        parts.withColumn("_wanted", F.filter(wanted, inside("_end", "_n")))
-        .filter(F.size("_wanted") > 0)
-        .select(*keys, "_part", "_total", "_wanted", (F.col("_end") - F.col("_n")).alias("_start"))
-    )
+    holds_any = reduce(Column.__or__, [holds(rank) for rank in wanted.values()], F.lit(False))
+    chosen = parts.filter(holds_any).select(*keys, "_part", "_total", (F.col("_end") - F.col("_n")).alias("_start"))
 
     # Rank inside the chosen parts; none holds more than one task was given.
     by_value = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    picked = (
+    slots = (
         placed.join(chosen, [*keys, "_part"])
         .withColumn("_end", F.col("_start") + F.sum("_n").over(by_value))
-        .withColumn("_hits", F.filter("_wanted", inside("_end", "_n")))
-        .filter(F.size("_hits") > 0)
-        .select(*keys, "_total", "_v", F.explode("_hits.slot").alias("_slot"))
-    )
-
-    def slot(name: str, side: str) -> Column:
-        return F.max(F.when(F.col("_slot") == f"{name}/{side}", F.col("_v"))).alias(f"{name}/{side}")
-
-    slots = picked.groupBy(*keys).agg(
-        F.max("_total").alias("_total"), *[slot(name, side) for name in probs for side in ("lo", "hi")]
+        .filter(holds_any)
+        .groupBy(*keys)
+        .agg(F.max("_total").alias("_total"), *[F.max(F.when(holds(rank), F.col("_v"))).alias(slot) for slot, rank in wanted.items()])
     )
 
     def interpolated(name: str) -> Column:

@@ -238,3 +238,26 @@ def test_intermediate_tables_go_with_their_block(spark, small):
         report = plan.item_report(samples.survey(spark, small), groups=samples.ITEM_GROUPS, categories=samples.ITEM_CATEGORIES)
         assert report.count() > 0 and set(Path(scratch_root(spark)).iterdir()) > before
     assert set(Path(scratch_root(spark)).iterdir()) == before
+
+
+def test_broken_records_are_kept_apart(spark, tmp_path):
+    """A bare ampersand and a record that breaks off; neighbours, other pages and records without content are untouched."""
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    rows_ = "<row><P_SEQ>1</P_SEQ></row><row/><row a='b'><P_SEQ>x & y</P_SEQ></row><row>\n<P_SEQ>3</P_SEQ><A_NAME></A_NAME></row>"
+    (folder / "p.xml").write_text(f"<?xml version='1.0'?>\n<rows><total>2</total>{rows_}</rows>", encoding="utf-8")
+    (folder / "q.xml").write_text("<row ><P_SEQ>7</P_SEQ><A_NAME>무 &amp; 배</A_NAME></row><row><P_SEQ>8</P_SEQ>", encoding="utf-8")
+    good, bad = xml.split_rows(spark, str(folder))
+    assert plain(good.select("P_SEQ", "A_NAME")) == [("1", None), ("3", None), ("7", "무 & 배")]
+    assert sorted((r.file[-5:], r.record) for r in bad.collect()) == [
+        ("p.xml", "<row a='b'><P_SEQ>x & y</P_SEQ></row>"),
+        ("q.xml", "<row><P_SEQ>8</P_SEQ>"),
+    ]
+    aside = str(tmp_path / "aside")
+    for _ in range(2):
+        assert plan.load(spark, [], str(folder), quarantine=aside).count() == 3
+    assert spark.read.parquet(aside).count() == 4
+    with pytest.warns(UserWarning, match="2 API records"):
+        plan.load(spark, [], str(folder))
+    (folder / "p.xml").write_text("", encoding="utf-8")
+    assert [part.count() for part in xml.split_rows(spark, str(folder / "p.xml"))] == [0, 0]

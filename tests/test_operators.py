@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jangbu import rules, schema
+from jangbu.functions.measures import moments
 from jangbu.operators import columns, outliers, profile, quality, rows
 from jangbu.operators import volatility as vol
 from jangbu.plans import samples
@@ -290,3 +291,64 @@ def test_volatility_reads_two_columns_and_combines_before_its_shuffle(spark, sma
     text = explained(vol.volatility(line, ["l_returnflag"], "l_extendedprice"))
     assert "ReadSchema: struct<l_extendedprice:double,l_returnflag:string>" in text
     assert "partial_avg" in text and text.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("n", [700, 1999])
+@pytest.mark.parametrize("alike", [1, 900])
+def test_head_is_found_by_counting(spark, monkeypatch, n, alike):
+    """With few keys drawn and sorted at a time; nulls come first, equal rows on both sides of the border are counted."""
+    monkeypatch.setattr(rows, "_DRAWN", 50)
+    monkeypatch.setattr(rows, "_SORTED", 20)
+    data = [(None if i % 7 == 0 else (i * 7919) % 2000 // alike, str(i // alike % 5)) for i in range(2000)]
+    df = frame(spark, data, "k int, v string").repartition(5)
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    want = sorted(data, key=order)
+    assert sorted(plain(rows.head_slice(df, n, ["k"])), key=order) == want[:n]
+    assert sorted(plain(rows.drop_tail(df, n, ["k"])), key=order) == want[: max(0, len(want) - n)]
+
+
+def test_head_slice_moves_no_rows(spark):
+    df = spark.range(100_000).selectExpr("(id * 7919) % 100003 AS k", "id")
+    text = rows.drop_tail(df, 1000, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in text.split("scalar-subquery")[0] and "Join" not in text
+    assert rows.drop_tail(df, 1000, ["k"]).count() == 99_000
+
+
+def test_levels_equal_separate_aggregates(spark):
+    """With missing keys and prices, two names for one level, and groups far apart in size."""
+    data = [(None if i % 11 == 0 else f"d{i % 3}", None if i % 13 == 0 else i % 4, None if i % 5 == 0 else (1e9 if i % 3 else 1.0) + i % 7 / 10) for i in range(600)]
+    df = frame(spark, data, "d string, y int, p double")
+    levels = {"d": ["d"], "again": ["d"], "dy": ["y", "d"], "y": ["y"], "all": []}
+    got = {(r.level, r.d, r.y): (r["mean"], r["std"], r["count"]) for r in vol.volatility_levels(df, levels, "p").collect()}
+    want = {}
+    for name, keys in levels.items():
+        for r in vol.volatility(df, keys, "p").collect() if keys else df.agg(*moments("p")).collect():
+            values = r.asDict()
+            want[name, values.get("d"), values.get("y")] = (r["mean"], r["std"], r["count"])
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_shifted_sums_keep_small_spreads(spark):
+    """A spread of a few tenths beside values of a billion, and beside one far value."""
+    import statistics
+
+    for far in ([], [1e9]):
+        values = [1e6 + i % 10 / 10 for i in range(1000)] + far
+        df = frame(spark, [("a", "x" if i < 500 else "y", v) for i, v in enumerate(values)], "category string, item_name string, price double")
+        got = {r.stage: r for r in profile.price_summary(df).collect()}
+        assert got["before"]["std"] == pytest.approx(statistics.stdev(values), rel=1e-7)
+        assert got["after"]["std"] == pytest.approx(statistics.stdev(values[:1000]), rel=1e-7)
+        assert got["after"]["mean"] == pytest.approx(statistics.mean(values[:1000])) and got["after"]["count"] == 1000
+
+
+def test_zero_repair_evaluates_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = frame(spark, [("a", 2020, float(i % 4)) for i in range(100)], "item_name string, year bigint, price double")
+    repaired = quality.repair_zeros(df.mapInArrow(counted, df.schema))
+    assert repaired.count() == 100 and seen.value == 100

@@ -62,3 +62,16 @@ def test_weights_and_similarity(spark):
     assert scores == {k: pytest.approx(v) for k, v in best.items()}
     above = {r["id"] for r in similarity.max_similarity(df, "id", "title", TARGETS).collect()}
     assert above == {k for k, v in best.items() if v > 0.005}
+
+
+def test_a_thousand_targets_take_the_plan_of_three(spark):
+    df = spark.createDataFrame([(i, f"word{i} word{i + 1} and more") for i in range(50)] + [(50, None), (51, "none")], "id int, title string")
+    few, many = ([f"word{i}" for i in range(n)] for n in (3, 1000))
+    nodes = [similarity.max_similarity(df, "id", "title", t, limit=None)._jdf.queryExecution().optimizedPlan() for t in (few, many)]
+    assert nodes[0].toString().count("\n") == nodes[1].toString().count("\n")
+    got = {r["id"]: r["max_similarity"] for r in similarity.max_similarity(df, "id", "title", many, limit=None).collect()}
+    each = {}
+    for start in range(0, 51, 17):
+        for r in similarity.max_similarity(df, "id", "title", many[start : start + 17], limit=None).collect():
+            each[r["id"]] = max(each.get(r["id"], 0), r["max_similarity"])
+    assert got == pytest.approx(each) and got[51] == 0 and 50 not in got and min(got[i] for i in range(50)) > 0
