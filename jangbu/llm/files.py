@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import fcntl
 import json
 import os
-import uuid
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -60,17 +61,22 @@ def shared_parts(spark: SparkSession, path: str) -> list[str]:
 
 
 def mapped_parts(files: list[str], kinds: dict[str, type]) -> list[np.ndarray]:
-    """The columns of such files as mapped arrays. The first worker of an executor unpacks them, a batch at a time."""
-    out = []
-    for column, kind in kinds.items():
-        target = os.path.join(SparkFiles.getRootDirectory(), f"{files[0]}.{column}" if files else column)
-        if files and not os.path.exists(target):
-            own = f"{target}.{uuid.uuid4().hex}"
-            with open(own, "wb") as f:
+    """The columns of such files as mapped arrays. The first worker of an executor unpacks them, a batch at a time, while
+    others wait, and removes what it has unpacked; a new executor gets the files anew."""
+    if not files:
+        return [np.zeros(0, kind) for kind in kinds.values()]
+    target = os.path.join(SparkFiles.getRootDirectory(), files[0])
+    with open(f"{target}.lock", "w") as lock:
+        fcntl.flock(lock, fcntl.LOCK_EX)
+        if not os.path.exists(f"{target}.done"):
+            with ExitStack() as stack:
+                out = {c: stack.enter_context(open(f"{target}.{c}", "wb")) for c in kinds}
                 for name in files:
-                    for batch in pq.ParquetFile(SparkFiles.get(name)).iter_batches(columns=[column]):
-                        f.write(batch.column(0).to_numpy().astype(kind).tobytes())
-            os.rename(own, target)
-        full = files and os.path.getsize(target)
-        out.append(np.memmap(target, kind, "r") if full else np.zeros(0, kind))
-    return out
+                    for batch in pq.ParquetFile(SparkFiles.get(name)).iter_batches(columns=list(kinds)):
+                        for column, kind in kinds.items():
+                            out[column].write(batch.column(column).to_numpy().astype(kind).tobytes())
+            open(f"{target}.done", "w").close()
+            for name in files:
+                os.remove(SparkFiles.get(name))
+    paths = [f"{target}.{c}" for c in kinds]
+    return [np.memmap(p, kind, "r") if os.path.getsize(p) else np.zeros(0, kind) for p, kind in zip(paths, kinds.values())]

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,8 @@ from jangbu.llm.spans import LOWER, U64, Texts, _runs, mixed, small
 #: About so many texts of each language are fitted to (all where there are fewer), chosen by a hash of their key;
 #: of each a run of FIT_WORDS words from a random place.
 FIT_TEXTS, FIT_WORDS = 1500, 40
+#: More languages than this are an error: labels of rows, not of languages. With it at most 2 * FIT_TEXTS texts of each are fitted to.
+MOST_LANGUAGES = 200
 FEATURE_BITS = 17
 ROUNDS, RATE, BATCH = 6, 0.3, 400
 #: A word of the sample belongs to the lexicon if it occurs so often there.
@@ -242,19 +244,29 @@ def _with_pairs(potentials: np.ndarray, steps: np.ndarray, sizes: np.ndarray) ->
 
 
 def learned(docs: DataFrame, fold_of: int, away: int, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Field:
-    """A model of the languages in `lang`, from a hashed sample of the rows outside the fold `away`."""
+    """A model of the languages in `lang`, from a hashed sample of the rows outside the fold `away`.
+
+    At most 2 * FIT_TEXTS cut texts of each of at most MOST_LANGUAGES languages come to the driver, whatever the keys and
+    however often rows repeat.
+    """
     known = docs.where(F.col(lang).isNotNull() & ~F.coalesce(fold(key, fold_of) == away, F.lit(False)) & F.col(text).isNotNull())
-    known = known.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.pmod(F.xxhash64(F.col(key), F.lit("fit")), F.lit(1 << 30)).alias("h"))
-    # One number a language, as the model has; with it rows are chosen where they stand.
-    limits = [(r["lang"], FIT_TEXTS * (1 << 30) // r["n"]) for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()]
-    if not limits:
+    # Key and text, so that neither rows without a key nor those of one key are chosen or left all together.
+    h = F.pmod(F.xxhash64(F.col(key), F.col(text), F.lit("fit")), F.lit(1 << 30))
+    known = known.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), h.alias("h"))
+    # One number a language, as the model has; with it rows are chosen where they stand. Copies count once.
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"{lang} holds more than {MOST_LANGUAGES} languages")
+    if not sizes:
         return fit([])
-    limit = F.create_map(*[F.lit(x) for pair in limits for x in pair])[F.col("lang")]
+    limit = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], FIT_TEXTS * (1 << 30) // max(1, r["n"]))])[F.col("lang")]
     chosen = known.where(F.col("h") < limit)
     # A run of words is cut out on the executors, so that long texts do not come to the driver.
     words = F.regexp_extract_all("text", F.lit(r"\S+"), F.lit(0))
     cut = F.pmod(F.col("h"), F.greatest(F.size("words") - 3 * FIT_WORDS + 1, F.lit(1))).cast("int") + 1
-    rows = chosen.select("lang", "h", words.alias("words")).select("lang", "h", F.array_join(F.slice("words", cut, 3 * FIT_WORDS), " ").alias("text")).toArrow()
+    rows = chosen.select("lang", "h", words.alias("words")).select("lang", "h", F.array_join(F.slice("words", cut, 3 * FIT_WORDS), " ").alias("text"))
+    first = Window.partitionBy("lang").orderBy("h", "text")
+    rows = rows.distinct().withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= 2 * FIT_TEXTS).toArrow()
     return fit(sorted(zip(rows.column("text").to_pylist(), rows.column("lang").to_pylist())))
 
 

@@ -335,9 +335,27 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", li
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", limit: Fraction = LIMIT) -> DataFrame:
-    """The rows of `docs`, with all columns, without those that are not kept; rows without a key stay."""
-    gone = near_duplicates(docs, text, key, limit).where("not kept").select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    """One row of `docs`, with all columns, of each component: that with the smallest key, a present one before none.
+
+    Each different (key, text) is a node of its own, told apart by 64 bits, so rows without a key and rows of one key are
+    linked and dropped like others, and of rows that repeat altogether one stays. Rows without words are linked with
+    nothing and all stay. Columns of `docs` may have any names; an empty table gives no rows.
+    """
+    node = F.xxhash64(F.col(key), F.col(text))
+    rows = docs.select(node.alias("_node"), F.col(key).alias("_key"), F.col(text).alias("_text"))
+    told = settle(near_duplicates(rows, "_text", "_node", limit).where("n_shingles > 0").select("_node", "component_id"), "told")
+    each = told.groupBy("_node", "component_id").agg(F.count("*").alias("n"))
+    groups = each.groupBy("component_id").agg(F.count("*").alias("nodes")).where("nodes > 1")
+    members = settle(each.join(groups, "component_id").select("_node", "component_id"), "members")
+    order = F.struct(F.col("_key").isNull(), "_key", "_node")
+    first = rows.select("_node", "_key").join(members, "_node").groupBy("component_id").agg(F.min_by("_node", order).alias("_node"))
+    gone = settle(members.join(first, ["component_id", "_node"], "left_anti").select(F.col("_node").alias("_gone")), "gone")
+    kept = docs.join(gone, node == F.col("_gone"), "left_anti")
+    repeated = settle(each.where("n > 1").select(F.col("_node").alias("_again")), "repeated")
+    if repeated.isEmpty():
+        return kept
+    again = kept.withColumn("_again", node).join(repeated, "_again", "left_semi").dropDuplicates(["_again"])
+    return kept.join(repeated, node == F.col("_again"), "left_anti").union(again.select(*docs.columns))
 
 
 def _still_apart(shared: DataFrame, reached: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from jangbu.llm.files import mapped_parts, shared_parts
 from jangbu.llm.spans import U64, Texts, counts_within, mixed, small
-from jangbu.session import scratch_path, settle
+from jangbu.session import scratch, scratch_path, settle
 
 ORDER = 5
 #: Bits of a character, characters in one number, and the probability of one that no model knows.
@@ -68,6 +68,38 @@ def runs(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return *parts, ends
 
 
+def distinct_runs(of: np.ndarray, texts: Texts, places: bool = False) -> tuple[np.ndarray, ...]:
+    """The different runs (model, a, b) of texts, and how often each occurs; with `places` which of them each character ends.
+
+    `of` has the model of each text. Runs become single numbers over the characters that occur, which sort quickly; where
+    there are too many characters for that, hashes of the runs are sorted.
+    """
+    symbols, ends = characters(texts)
+    sizes = np.diff(ends)
+    present = np.zeros(0x200000, bool)
+    present[symbols] = True
+    alphabet = np.flatnonzero(present).astype(U64)
+    models, model = np.unique(of, return_inverse=True)
+    base = len(alphabet) + 1
+    if max(1, len(models)) * base**ORDER >= 1 << 63:
+        of, (a, b, _) = np.repeat(of, sizes), runs(texts)
+        _, first, place, n = np.unique(_key(of, ORDER, False, a, b), return_index=True, return_inverse=True, return_counts=True)
+        return of[first], a[first], b[first], place if places else n
+    codes = np.zeros(0x200000, np.int64)
+    codes[alphabet.astype(np.int64)] = np.arange(1, base)
+    code, at = codes[symbols], np.arange(len(symbols)) - np.repeat(ends[:-1], sizes)
+    number = np.repeat(model.astype(np.int64), sizes)
+    for back in range(ORDER - 1, -1, -1):
+        number *= base
+        number[back:] += np.where(at[back:] < back, 0, code[: len(code) - back])
+    number, last = np.unique(number, return_inverse=places, return_counts=not places)
+    parts, letters = [np.zeros(len(number), U64), np.zeros(len(number), U64)], np.concatenate([np.zeros(1, U64), alphabet])
+    for back in range(ORDER):
+        number, digit = np.divmod(number, base)
+        parts[back < HALF] |= letters[digit] << U64(BITS * (back % HALF))
+    return models[number], *parts, last
+
+
 def _cut(order: int) -> tuple[int, int]:
     """What is left of (a, b) in the last `order` characters, as masks."""
     return (1 << BITS * max(order - HALF, 0)) - 1, (1 << BITS * min(order, HALF)) - 1
@@ -96,9 +128,7 @@ def counted(docs: DataFrame, text: str = "text") -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         for batch in small(batches):
-            a, b, ends = runs(Texts.of(batch.column(1)))
-            of = np.repeat(batch.column(0).to_numpy(), np.diff(ends))
-            held.append(merged([[of, a, b, np.ones(len(a), np.int64)]]))
+            held.append(list(distinct_runs(batch.column(0).to_numpy(), Texts.of(batch.column(1)))))
             if sum(len(h[0]) for h in held) > _HELD:
                 held = [merged(held)]
                 if len(held[0][0]) > _HELD // 2:
@@ -171,11 +201,11 @@ def _hashed(order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return hashed
 
 
-def model_files(tables: list[DataFrame]) -> list[str]:
+def model_files(tables: list[DataFrame], path: str | None = None) -> list[str]:
     """Write hashed runs and contexts of all models in ranges of rising hashes; the files' names on the executors, in order."""
     spark = tables[0].sparkSession
     hashed = [t.mapInArrow(_hashed(order), "key bigint, value float") for order, t in enumerate(tables, 1)]
-    path = scratch_path(spark, "model")
+    path = path or scratch_path(spark, "model")
     reduce(DataFrame.union, hashed).repartitionByRange("key").sortWithinPartitions("key").write.parquet(path)
     return shared_parts(spark, path)
 
@@ -212,10 +242,8 @@ class Model:
 
     def bits(self, of: np.ndarray, texts: Texts) -> np.ndarray:
         """Per text the mean of -log2 of its characters' probabilities; 0 for an empty text."""
-        a, b, ends = runs(texts)
-        of = np.repeat(of, np.diff(ends))
-        _, at, place = np.unique(_key(of, ORDER, False, a, b), return_index=True, return_inverse=True)
-        each = -np.log2(self.chances(of[at], a[at], b[at]))[place]
+        *found, place = distinct_runs(of, texts, places=True)
+        each, ends = -np.log2(self.chances(*found))[place], characters(texts)[1]
         total = np.concatenate([[0], np.cumsum(each)])
         return (total[ends[1:]] - total[ends[:-1]]) / np.maximum(np.diff(ends), 1)
 
@@ -252,7 +280,9 @@ def measured(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str
     """Per row of `docs`: key, language, the counts of the rules, and bits: the mean surprise of a character."""
     fold = F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(FOLDS))
     model = lambda f: F.xxhash64(F.lit(ORDER), F.col(lang).cast("string"), f)
-    files = model_files(kneser_ney(settle(counted(docs.select(model(fold).alias("own"), text), text), "runs")))
+    path = scratch_path(docs.sparkSession, "model")
+    with scratch(docs.sparkSession):  # the counts are not needed any more when the model is written
+        files = model_files(kneser_ney(settle(counted(docs.select(model(fold).alias("own"), text), text), "runs")), path)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*mapped_parts(files, {"key": np.int64, "value": np.float32}))

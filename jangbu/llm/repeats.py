@@ -339,9 +339,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", par
     copies = (F.col("copies") > 1) & (F.col("n_bytes") >= SIZE)
     nothing = hashlib.sha256(b"").hexdigest()
     known = same.join(left, "node", "left").select(
-        "node",
+        "sha",
         F.when(copies, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copies, 1).otherwise(F.coalesce("n_spans", F.lit(0))).alias("n_spans"),
         F.when(copies, F.lit(nothing)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
     )
-    return told.join(known, "node").select(F.col("key").alias(key), "n_bytes", "n_removed", F.col("n_spans").cast("long").alias("n_spans"), "kept_sha256")
+    return told.join(known, "sha").select(F.col("key").alias(key), "n_bytes", "n_removed", F.col("n_spans").cast("long").alias("n_spans"), "kept_sha256")

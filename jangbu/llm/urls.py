@@ -76,14 +76,15 @@ class Rules:
     def __init__(self, file: str, digest: Digest):
         arrays = mapped_arrays(file)
         self.hosts, self.rules = DigestArray(*arrays[:4], digest), DigestArray(*arrays[4:8], digest)
-        self.starts, self.lengths = arrays[8:]
+        self.starts, self.lengths = arrays[8:10]
+        self.names, self.verdicts = arrays[10:12], arrays[12:]
 
     @staticmethod
-    def content(rules: list[tuple[str, str]], digest: Digest) -> bytes:
+    def content(rules: list[tuple[str, str, str]], digest: Digest) -> bytes:
         hosts: dict[bytes, int] = {}
         full: dict[bytes, int] = {}
         lengths: list[set[int]] = []
-        for i, (host, path) in enumerate(rules):
+        for i, (_, host, path) in enumerate(rules):
             at = hosts.setdefault(host.encode(), len(hosts))
             if at == len(lengths):
                 lengths.append(set())
@@ -94,8 +95,14 @@ class Rules:
             np.cumsum([0, *map(len, lengths)]).astype(np.int64),
             np.array([n for own in lengths for n in sorted(own, reverse=True)], np.int64),
         ]
+        for strings in ([(host + path).encode() for _, host, path in rules], [verdict.encode() for verdict, _, _ in rules]):
+            arrays += [np.cumsum([0, *map(len, strings)]).astype(np.int64), np.frombuffer(b"".join(strings), np.uint8)]
         return array_file(arrays)
 
+    def told(self, i: int) -> tuple[str, str]:
+        """The rule of a number as host + path, and its verdict."""
+        return tuple(letters[ends[i] : ends[i + 1]].tobytes().decode() for ends, letters in (self.names, self.verdicts))
+
     def longest(self, hosts: list[str], paths: list[str]) -> np.ndarray:
         """The number of the longest rule that fits each URL, -1 where none does."""
         owner, tails, text = [], [], []
@@ -142,16 +149,16 @@ def judge(
     the longest wins, of equally long ones that with the longer host; of a rule given twice the last. URLs that no
     rule fits get `default`, so do null URLs. Repeated rows, null keys and further columns are of no account.
     """
-    listed = [(host.lower(), path, verdict) for verdict, host, path in rules]
-    name = shared_file(pages.sparkSession, Rules.content([r[:2] for r in listed], digest), "url-rules")
-    names = [(host + path, verdict) for host, path, verdict in listed]
+    lowered = str.maketrans(_UPPER, _LOWER)
+    listed = [(verdict, host.translate(lowered), path) for verdict, host, path in rules]
+    name = shared_file(pages.sparkSession, Rules.content(listed, digest), "url-rules")
     parts = pages.select(key, url_host(url).alias("host"), url_path(url).alias("path"))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Rules(SparkFiles.get(name), digest)
         for batch in batches:
             found = known.longest(batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            told = [names[i] if i >= 0 else (None, default) for i in found]
+            told = [known.told(i) if i >= 0 else (None, default) for i in found]
             columns = [pa.array([x[n] for x in told], pa.string()) for n in (0, 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [key, "host", "path", "rule", "verdict"])
 

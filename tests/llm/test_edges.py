@@ -135,7 +135,82 @@ def test_near_dedup(docs):
     got = by_row(near_dedup.near_duplicates(docs), "doc_id", "n_shingles", "component_id")
     want = [(1, 196, 1), (2, 196, 1), (2, 196, 1), (3, 196, 1), (4, 0, 4), (5, 0, 5), (6, 0, 6), (7, 3, 7), (8, 1, 8), (9, 1, 8)]
     assert got == sorted([*want, (None, 196, 1), (None, 1, None)], key=repr)
-    assert sorted(str(r.doc_id) for r in near_dedup.keep_one(docs).collect()) == [*"145678", "None", "None"]
+    assert sorted(str(r.doc_id) for r in near_dedup.keep_one(docs).collect()) == [*"145678", "None"]
+    assert near_dedup.keep_one(docs).columns == docs.columns and near_dedup.keep_one(docs.limit(0)).count() == 0
+
+
+def test_near_copies_without_keys_and_of_one_key_are_dropped(spark):
+    other = BASE.replace("word7 ", "other ")
+    rows = [(1, BASE), (1, other), (None, BASE + " end"), (None, BASE + " more"), (None, BASE), (None, BASE), (None, None), (None, None), (5, "far away"), (5, "far away")]
+    kept = near_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept if r.text not in (BASE, other)), key=repr) == [(5, "far away"), (None, None), (None, None)]
+    assert [r.doc_id for r in kept if r.text in (BASE, other)] == [1]
+    none = [(None, BASE), (None, other), (None, BASE)]
+    assert near_dedup.keep_one(spark.createDataFrame(none, "doc_id long, text string")).count() == 1
+
+
+def test_url_hosts_are_lowered_by_ascii_letters_only(spark):
+    pages = spark.createDataFrame([(1, "http://\u00c9.Com/a"), (2, "http://\u00e9.com/a")], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge(pages, [("block", "\u00c9.COM", "/a")]).collect()}
+    assert got == {1: ("\u00c9.com/a", "block"), 2: (None, "allow")}
+
+
+def test_many_url_rules(spark):
+    """With digests that often clash, so that stored strings decide."""
+    rules = [("block" if i % 2 else "allow", f"h{i}.net", f"/{i % 7}") for i in range(100_000)]
+    pages = spark.createDataFrame([(i, f"http://w.h{i}.net/{i % 7 if i % 3 else 'x'}") for i in range(0, 100_000, 997)], "page_id long, url string")
+    got = urls.judge(pages, rules, "none", digest=lambda s: len(s) << 40 | s[-1] | s[1] << 8).collect()
+    assert all((r.rule, r.verdict) == ((f"h{r.page_id}.net/{r.page_id % 7}", "block" if r.page_id % 2 else "allow") if r.page_id % 3 else (None, "none")) for r in got)
+
+
+@pytest.mark.parametrize("key", [None, 1])
+def test_languages_are_learned_without_distinct_keys(spark, monkeypatch, key):
+    """One key or none for all rows, repeated rows among them: languages are sampled by their texts."""
+    monkeypatch.setattr(language, "FIT_TEXTS", 60)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang IS NOT NULL AND n_chars > 200")
+    docs = docs.union(docs.where("lang = 'en'")).withColumn("doc_id", F.lit(key).cast("long"))
+    got = language.identify(docs.select("doc_id", "text", F.col("lang"))).select("lang_pred")
+    want = docs.groupBy("lang").count()
+    counts = {r["lang_pred"]: r["count"] for r in got.groupBy("lang_pred").count().collect()}
+    assert all(abs(counts.get(r["lang"], 0) - r["count"]) <= 0.1 * r["count"] for r in want.collect())
+
+
+def test_too_many_languages_are_an_error(spark):
+    rows = [(i, "some text", f"l{i}") for i in range(language.MOST_LANGUAGES + 1)]
+    with pytest.raises(ValueError, match="languages"):
+        language.learned(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 4, 9)
+
+
+def test_forward_backward_equals_enumeration():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    k, sizes = 3, np.array([1, 5, 2, 7])
+    potentials, steps = rng.normal(size=(sizes.sum(), k)), rng.normal(size=(k, k))
+    want, pairs, start = [], np.zeros((k, k)), 0
+    for n in sizes:
+        chance, both, total = np.zeros((n, k)), np.zeros((k, k)), 0
+        for labels in itertools.product(range(k), repeat=int(n)):
+            # Before the first word is one of any label.
+            w = np.exp(steps).sum(axis=0)[labels[0]] * np.exp(sum(potentials[start + t, x] for t, x in enumerate(labels)) + sum(steps[x, y] for x, y in zip(labels, labels[1:])))
+            total += w
+            for t, x in enumerate(labels):
+                chance[t, x] += w
+            for x, y in zip(labels, labels[1:]):
+                both[x, y] += w
+        want.append(chance / total)
+        pairs += both / total
+        start += n
+    for block in (2, 3, 64):
+        language.BLOCK, before = block, language.BLOCK
+        try:
+            assert np.allclose(language.chances_of_words(potentials, steps, sizes), np.concatenate(want))
+        finally:
+            language.BLOCK = before
+    found, told = language._with_pairs(potentials, steps, sizes)
+    assert np.allclose(found, np.concatenate(want)) and np.allclose(told, pairs)
 
 
 def test_search_in_blocks_finds_links_that_stars_miss(spark, monkeypatch):

@@ -64,3 +64,19 @@ def test_word_salad_and_junk_are_rejected(spark):
     told = rows.crossJoin(perplexity.bands(rows)).select("doc_id", perplexity._away().between(F.col("low"), F.col("high")).alias("kept"))
     kept = {r.doc_id for r in told.collect() if r.kept}
     assert not kept & set(range(200, 216)) and len(kept) >= 0.95 * 200
+
+
+def test_distinct_runs_are_the_runs(monkeypatch):
+    """By single numbers and, with many characters, by hashes; the places lead back to every run."""
+    many = "".join(chr(0x4E00 + 7 * i) for i in range(3000))
+    for words in (["abab cab", "", None, "é\u0000b\U0001f600b", "abab"], [many, "abab", many]):
+        texts, of = Texts.of(pa.array(words, pa.string())), np.array([3, 4, 3, 4, -5][: len(words)])
+        a, b, ends = perplexity.runs(texts)
+        each = list(zip(np.repeat(of, np.diff(ends)).tolist(), a.tolist(), b.tolist()))
+        *found, n = perplexity.distinct_runs(of, texts)
+        got = {}
+        for *run, c in zip(*(f.tolist() for f in found), n.tolist()):
+            got[tuple(run)] = got.get(tuple(run), 0) + c
+        assert got == {r: each.count(r) for r in set(each)}
+        *found, place = perplexity.distinct_runs(of, texts, places=True)
+        assert [tuple(f[i] for f in map(np.ndarray.tolist, found)) for i in place.tolist()][:50] == each[:50]
