@@ -1,7 +1,8 @@
 """A training corpus from raw documents: good texts, one of each, sources mixed, encoded.
 
 Each stage takes all rows that the one before it kept and returns the columns of documents; the last returns what the
-encoding gives. Between stages rows are written to the shared scratch folder and read again.
+encoding gives. Between stages rows are written to the shared scratch folder and read again. Null texts count as empty, an empty
+table gives no rows at any stage, and further columns are carried on by all but the last.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ def different_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def unlike_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates, that with the smallest doc_id."""
+    """One document of each component of near duplicates, that with the smallest doc_id; rows without a doc_id come last."""
     return near_dedup.keep_one(docs, limit=NEAR)
 
 
@@ -52,7 +53,7 @@ STAGES = [
     ("BPE encoding", encoded),
 ]
 
-#: The classifier has no SQL form; the stages are tested one by one against brute force instead.
+#: The classifier has no SQL form; run() is tested against a plain version in tests/llm/test_pipeline.py instead.
 ORACLE_SQL = None
 
 
