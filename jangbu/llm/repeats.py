@@ -6,7 +6,7 @@ more than once can repeat. Their stretches of text (all windows of one anchor in
 shards of bounded size, and each shard's suffix array with its common prefixes shows which windows repeat.
 
 An anchor with very many different stretches is cut into several shards. These are merged afterwards: each hands on
-the digests of its different windows, sorted and cut at the borders of digest ranges by binary search, and the lists of one range
+SHA-256 digests of its different windows, sorted and cut at the borders of digest ranges by binary search, and the lists of one range
 are searched in each other.
 """
 
@@ -17,11 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jangbu.llm.spans import U64, Texts, mixed, small
+from jangbu.llm.spans import U64, Texts, joined, mixed, small
 from jangbu.llm.suffixes import repeated
 from jangbu.llm.text import present
 from jangbu.session import settle
@@ -34,6 +35,8 @@ STRETCH, PART, SHARD = 256, 2000, 1 << 20
 #: Windows of one text that are looked at together.
 _BLOCK = 1 << 20
 
+#: The first 16 bytes of a SHA-256.
+_DIGEST = np.dtype("S16")
 _LETTERS = mixed(np.arange(1, 257, dtype=U64))
 
 
@@ -146,14 +149,15 @@ def _cut_out(chosen: DataFrame) -> DataFrame:
             bound = lambda o, a: mixed(a ^ mixed(o.astype(U64)))
             keep = np.flatnonzero(np.isin(bound(owner, anchor), bound(of, wanted)))
             for part in np.array_split(keep, max(1, len(keep) // 4000)):
-                spans = at[part], at[part] + n[part] + SIZE - 1
+                pieces = [texts.data[a:b].tobytes() for a, b in zip(at[part], at[part] + n[part] + SIZE - 1)]
+                digests = b"".join(hashlib.sha256(x).digest()[:8] for x in pieces)
                 columns = [
                     batch.column(0).take(pa.array(owner[part])),
                     pa.array(anchor[part].view(np.int64)),
-                    pa.array(texts.hashes(spans).view(np.int64)),
+                    pa.array(np.frombuffer(digests, np.int64)),
                     pa.array((at[part] - texts.ends[owner[part]]).astype(np.int64)),
                     pa.array(n[part].astype(np.int64)),
-                    pa.array([texts.data[a:b].tobytes() for a, b in zip(*spans)], pa.binary()),
+                    pa.array(pieces, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "anchor", "digest", "start", "n", "bytes"])
 
@@ -162,10 +166,33 @@ def _cut_out(chosen: DataFrame) -> DataFrame:
     )
 
 
-def _intervals(flags: np.ndarray) -> list[int]:
+def _intervals(flags: np.ndarray) -> np.ndarray:
     """Borders of the runs of True: first, behind the last, and so on."""
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-    return edges.tolist()
+    return np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by (anchor, part) in runs of whole parts, of about SHARD bytes; a part of a split anchor is alone in its run."""
+    held, size, last, alone = [], 0, None, False
+    for batch in batches:
+        anchor, part = batch.column("anchor").to_numpy(), batch.column("part").to_numpy()
+        split, ends = batch.column("parts").to_numpy() > 1, np.cumsum(pc.binary_length(batch.column("bytes")).to_numpy())
+        heads = np.flatnonzero((anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])) + 1
+        if batch.num_rows and (anchor[0], part[0]) != last:
+            heads = np.concatenate([[0], heads])
+        begun = done = 0
+        for at in heads.tolist():
+            before = int(ends[at - 1]) if at else 0
+            if size + before - done and (alone or split[at] or size + before - done >= SHARD):
+                yield pa.Table.from_batches([*held, batch.slice(begun, at - begun)])
+                held, size, begun, done = [], 0, at, before
+            alone = bool(split[at])
+        if batch.num_rows:
+            held.append(batch.slice(begun))
+            size += int(ends[-1]) - done
+            last = anchor[-1], part[-1]
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _searched(different: DataFrame) -> DataFrame:
@@ -173,87 +200,78 @@ def _searched(different: DataFrame) -> DataFrame:
 
     Rows of anchors in several parts also give digests of their windows by range, to be merged.
     """
-
-    def search(shard: list[dict]) -> Iterator[pa.RecordBatch]:
-        data = np.frombuffer(b"".join(r["bytes"] for r in shard), np.uint8)
-        ends = np.cumsum([0, *(len(r["bytes"]) for r in shard)])
-        texts, again = Texts(data, ends), repeated(data, ends, SIZE)
-        out = [
-            (r["anchor"], r["digest"], _intervals(again[e : e + r["n"]]), None, None, None)
-            for r, e in zip(shard, ends)
-        ]
-        split = [(r, e) for r, e in zip(shard, ends) if r["parts"] > 1]
-        if split:
-            starts = np.concatenate([np.arange(e, e + r["n"]) for r, e in split])
-            row = np.repeat(np.arange(len(split)), [r["n"] for r, _ in split])
-            known = mixed(texts.hashes((starts, starts + SIZE)) ^ np.array([r["anchor"] for r, _ in split], np.int64).view(U64)[row])
-            known, one = np.unique(known, return_index=True)
-            parts = max(r["parts"] for r, _ in split)
-            borders = np.searchsorted(known, np.arange(1, parts, dtype=U64) * U64(2**64 // parts))
-            for i, (a, b) in enumerate(zip([0, *borders], [*borders, len(known)])):
-                if a < b:
-                    of = row[one[a:b]]
-                    refs = np.stack([np.array([split[k][0]["anchor"] for k in of]), np.array([split[k][0]["digest"] for k in of]), starts[one[a:b]] - np.array([split[k][1] for k in of])], axis=1)
-                    out.append((split[0][0]["anchor"], parts, None, i, known[a:b].tobytes(), refs.astype(np.int64).tobytes()))
-        columns = zip(*out)
-        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.binary(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["anchor", "digest", "windows", "range", "known", "refs"])
-
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, last = [], 0, None
-        for batch in batches:
-            for row in batch.to_pylist():
-                group = row["anchor"], row["part"]
-                # A part of a split anchor makes a shard of its own; others share one up to the bound.
-                if group != last and held and (size >= SHARD or row["parts"] > 1 or held[-1]["parts"] > 1):
-                    yield from search(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row["bytes"])
-                last = group
-        if held:
-            yield from search(held)
+    kinds = [("anchor", pa.int64()), ("digest", pa.int64()), ("windows", pa.list_(pa.int32())), ("range", pa.int32()), ("known", pa.binary()), ("refs", pa.binary())]
+    schema = pa.schema(kinds)
+
+    def lists(shard: pa.Table, data: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Digests of the different windows of a part, each with one place, cut at the borders of ranges."""
+        anchor, parts = shard.column("anchor")[0].as_py(), shard.column("parts")[0].as_py()
+        n = shard.column("n").to_numpy()
+        row = np.repeat(np.arange(len(n)), n)
+        offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        raw = data.tobytes()
+        known = b"".join(hashlib.sha256(raw[i : i + SIZE]).digest()[:16] for i in (ends[row] + offset).tolist())
+        known = np.frombuffer(known, _DIGEST)
+        known, one = np.unique(known, return_index=True)
+        refs = np.stack([shard.column("digest").to_numpy()[row[one]], offset[one]], axis=1)
+        borders = [(i << 64) // parts for i in range(1, parts)]
+        borders = np.array([b.to_bytes(8, "big") for b in borders], _DIGEST)
+        cuts = [0, *np.searchsorted(known, borders).tolist(), len(known)]
+        full = [i for i in range(parts) if cuts[i] < cuts[i + 1]]
+        held = [(known[cuts[i] : cuts[i + 1]].tobytes(), refs[cuts[i] : cuts[i + 1]].astype(np.int64).tobytes()) for i in full]
+        whole, half = pa.array([anchor] * len(full), pa.int64()), pa.nulls(len(full), pa.int64())
+        columns = [whole, half, pa.nulls(len(full), kinds[2][1]), pa.array(full, pa.int32())]
+        yield pa.RecordBatch.from_arrays([*columns, *(pa.array(list(c), pa.binary()) for c in zip(*held))], schema=schema)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in _shards(batches):
+            data, ends = joined(shard.column("bytes"), binary=True)
+            # Windows end with their stretch, so no run of repeated ones goes on into the next.
+            edges = _intervals(repeated(data, ends, SIZE))
+            row = np.searchsorted(ends, edges, "right") - 1
+            hit, first = np.unique(row, return_index=True)
+            windows = pa.ListArray.from_arrays(np.append(first, len(row)).astype(np.int32), pa.array((edges - ends[row]).astype(np.int32)))
+            columns = [shard.column(c).combine_chunks().take(pa.array(hit)) for c in ("anchor", "digest")]
+            yield pa.RecordBatch.from_arrays([*columns, windows, *(pa.nulls(len(hit), k) for _, k in kinds[3:])], schema=schema)
+            if shard.column("parts")[0].as_py() > 1:
+                yield from lists(shard, data, ends)
 
     placed = different.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
-    return placed.mapInArrow(shards, "anchor bigint, digest bigint, windows array<int>, range int, known binary, refs binary")
+    return placed.mapInArrow(search, "anchor bigint, digest bigint, windows array<int>, range int, known binary, refs binary")
 
 
 def _merged(lists: DataFrame) -> DataFrame:
     """Windows (anchor, digest, windows) that are in the lists of several parts of their anchor."""
 
-    def merge(rows: list[dict]) -> pa.RecordBatch:
-        known = [np.frombuffer(r["known"], U64) for r in rows]
-        refs = [np.frombuffer(r["refs"], np.int64).reshape(-1, 3) for r in rows]
-        seen, twice = known[0], np.zeros(0, U64)
+    def merge(anchor: int, rows: list[dict]) -> pa.RecordBatch:
+        known = [np.frombuffer(r["known"], _DIGEST) for r in rows]
+        refs = [np.frombuffer(r["refs"], np.int64).reshape(-1, 2) for r in rows]
+        seen, twice = known[0], []
         for own in known[1:]:
-            at = np.minimum(np.searchsorted(seen, own), len(seen) - 1)
-            both = seen[at] == own
-            twice = np.concatenate([twice, own[both]])
-            new = own[~both]
-            seen = np.insert(seen, np.searchsorted(seen, new), new)
-        twice = np.unique(twice)
-        found = []
+            at = np.searchsorted(seen, own)
+            both = seen[np.minimum(at, len(seen) - 1)] == own
+            twice.append(own[both])
+            seen = np.insert(seen, at[~both], own[~both])
+        twice = np.unique(np.concatenate([*twice, seen[:0]]))
+        found = [refs[0][:0]]
         for own, ref in zip(known, refs):
             if len(twice):
-                at = np.minimum(np.searchsorted(twice, own), len(twice) - 1)
-                found.append(ref[twice[at] == own])
-        found = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
-        windows = [[int(x), int(x) + 1] for x in found[:, 2]]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(windows, pa.list_(pa.int32()))], ["anchor", "digest", "windows"]
-        )
+                found.append(ref[twice[np.minimum(np.searchsorted(twice, own), len(twice) - 1)] == own])
+        digest, offset = np.concatenate(found).T
+        windows = pa.ListArray.from_arrays(np.arange(0, 2 * len(offset) + 1, 2, dtype=np.int32), pa.array(np.stack([offset, offset + 1], axis=1).ravel().astype(np.int32)))
+        return pa.RecordBatch.from_arrays([pa.array([anchor] * len(digest), pa.int64()), pa.array(digest), windows], ["anchor", "digest", "windows"])
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last = [], None
         for batch in batches:
             for row in batch.to_pylist():
                 if (row["anchor"], row["range"]) != last and held:
-                    yield merge(held)
+                    yield merge(last[0], held)
                     held = []
                 last = row["anchor"], row["range"]
                 held.append(row)
         if held:
-            yield merge(held)
+            yield merge(last[0], held)
 
     placed = lists.select("anchor", "range", "known", "refs").repartition("anchor", "range").sortWithinPartitions("anchor", "range")
     return placed.mapInArrow(ranges, "anchor bigint, digest bigint, windows array<int>")
@@ -287,8 +305,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", par
 
     Null counts as the empty text. Rows with equal texts, repeated rows too, are different documents, so from 200 bytes on
     nothing of them is left. Strings are judged on the input; those that overlap within one text count. Further columns
-    are not looked at, an empty table gives no rows. Texts are told apart by SHA-256, anchors and windows of an
-    anchor by 64-bit hashes; what repeats in a shard is compared byte by byte.
+    are not looked at, an empty table gives no rows. Texts are told apart by SHA-256, the stretches of one anchor by 64 bits of it, the
+    windows of an anchor in several parts by 128 bits of it; what repeats in a shard is compared byte by byte.
     """
     rows = docs.select(F.col(key).alias("key"), present(text).alias("text"))
     told = settle(

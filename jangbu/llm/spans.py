@@ -45,11 +45,12 @@ def powers(base: int, n: int) -> np.ndarray:
     return out[:n]
 
 
-def joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of all texts, and where each ends, starting with 0; null is the empty text."""
+def joined(column: pa.Array, binary: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts (or all bytes), and where each ends, starting with 0; null is the empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.fill_null("").cast(pa.large_string()) if column.null_count else column.cast(pa.large_string())
+    column = column.fill_null(b"" if binary else "") if column.null_count else column
+    column = column.cast(pa.large_binary() if binary else pa.large_string())
     _, ends, data = column.buffers()
     ends = np.frombuffer(ends, np.int64)[column.offset : column.offset + len(column) + 1]
     if data is None or not len(column):

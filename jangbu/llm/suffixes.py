@@ -6,48 +6,64 @@ import numpy as np
 
 from jangbu.llm.spans import U64
 
-_STEP = 8
+#: Bytes that the first sort looks at; with their number they fill a word.
+_FIRST = 7
+_HEADS = np.array([~((1 << 8 * (8 - k)) - 1) & (1 << 64) - 1 if k else 0 for k in range(_FIRST + 1)], U64)
+#: Bits of a number that group, group behind and position may fill.
+_PACKED = 63
+#: Least words that need one byte, two bytes, and so on.
+_BYTES = np.array([1 << 8 * k for k in range(8)], U64)
+
+
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as one number, zeros behind the end."""
+    own = np.concatenate([data, np.zeros(7, np.uint8)]).astype(U64)
+    for done in (1, 2, 4):
+        own = (own[:-done] << U64(8 * done)) | own[done:]
+    return own
 
 
 def suffix_order(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Positions sorted by what follows them in their piece, by Larsson-Sadakane refinement.
 
-    Suffixes are grouped by their first eight bytes; then the groups of more than one member are sorted by the
+    Suffixes are grouped by their first seven bytes; then the groups of more than one member are sorted by the
     group of the suffix that stands as far behind as is known already, which doubles the sorted length, until all
     groups are single or the longest piece is passed. A shorter suffix comes before those it begins, equal ones stand by position.
+    Group, group behind and position are sorted as one number where they fit in one, which they do up to two million bytes.
     """
-    n, depth = len(data), int(np.diff(ends).max())
-    stop = np.repeat(ends[1:], np.diff(ends))
-    at = np.arange(n)
-    key = np.zeros(n, U64)
-    for k in range(_STEP):
-        inside = at + k < stop
-        key[inside] |= data[at[inside] + k].astype(U64) << U64(8 * (_STEP - 1 - k))
+    n, size = len(data), np.diff(ends)
+    left = np.repeat(ends[1:], size) - np.arange(n)
     # The length decides between a piece that ends and one that goes on with zero bytes.
-    order = np.lexsort((np.minimum(stop - at, _STEP), key))
-    length = np.minimum(stop - at, _STEP)[order]
+    short = np.minimum(left, _FIRST)
+    key = (_words(data) & _HEADS[short]) | short.astype(U64)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
     new = np.ones(n, bool)
-    new[1:] = (key[order][1:] != key[order][:-1]) | (length[1:] != length[:-1])
+    new[1:] = key[1:] != key[:-1]
     group = np.empty(n, np.int64)
     group[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
-    done = _STEP
-    while done < depth:
-        last = np.append(new[1:], True)
-        open_ = np.flatnonzero(~(new & last))
+    bits = n.bit_length()
+    done = _FIRST
+    while done < size.max():
+        open_ = np.flatnonzero(~(new & np.append(new[1:], True)))
         if not len(open_):
             break
         who = order[open_]
-        behind = who + done
-        inside = behind < stop[who]
-        after = np.where(inside, group[np.minimum(behind, n - 1)], -1)
         own = group[who]
-        place = np.lexsort((after, own))
-        order[open_] = who[place]
-        own, after = own[place], after[place]
+        after = np.where(left[who] > done, group[np.minimum(who + done, n - 1)] + 1, 0)
         fresh = np.ones(len(open_), bool)
-        fresh[1:] = (own[1:] != own[:-1]) | (after[1:] != after[:-1])
+        if 3 * bits <= _PACKED:
+            packed = np.sort((own << 2 * bits) | (after << bits) | who)
+            who = packed & ((1 << bits) - 1)
+            packed >>= bits
+            fresh[1:] = packed[1:] != packed[:-1]
+        else:
+            place = np.lexsort((who, after, own))
+            who, own, after = who[place], own[place], after[place]
+            fresh[1:] = (own[1:] != own[:-1]) | (after[1:] != after[:-1])
+        order[open_] = who
         new[open_] = fresh
-        group[order[open_]] = open_[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+        group[who] = open_[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
         done *= 2
     return order
 
@@ -56,9 +72,9 @@ def common_prefixes(data: np.ndarray, ends: np.ndarray, order: np.ndarray, depth
     """For each place of `order` the bytes shared with the suffix before it, up to `depth`, by Kasai's walk.
 
     Going from a position to the next one loses at most one byte of the prefix shared with the predecessor, so each walk
-    goes on where the last stopped. All pieces are walked side by side, one position of each at a time.
+    goes on where the last stopped. All pieces are walked side by side, one position of each at a time, and compared by eight bytes.
     """
-    n, starts = len(data), ends[:-1]
+    n, starts, words = len(data), ends[:-1], _words(data)
     stop = np.repeat(ends[1:], np.diff(ends))
     before = np.full(n, -1)
     before[order[1:]] = order[:-1]
@@ -78,9 +94,10 @@ def common_prefixes(data: np.ndarray, ends: np.ndarray, order: np.ndarray, depth
         length = np.minimum(length, most)
         on = np.flatnonzero(length < most)
         while len(on):
-            on = on[data[i[on] + length[on]] == data[j[on] + length[on]]]
-            length[on] += 1
-            on = on[length[on] < most[on]]
+            reached = length[on]
+            equal = 8 - np.searchsorted(_BYTES, words[i[on] + reached] ^ words[j[on] + reached], "right")
+            length[on] = reached = np.minimum(reached + equal, most[on])
+            on = on[(equal == 8) & (reached < most[on])]
         shared[i] = length
         now[live] = length
     return shared[order]

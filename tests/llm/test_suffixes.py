@@ -3,6 +3,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from jangbu.llm import suffixes
 from jangbu.llm.suffixes import common_prefixes, repeated, suffix_order
 
 
@@ -14,8 +15,10 @@ def pieces(rng):
     return data, np.cumsum([0] + [len(p) for p in out])
 
 
+@pytest.mark.parametrize("packed", [63, 0])
 @pytest.mark.parametrize("seed", range(60))
-def test_order_prefixes_and_repeats(seed):
+def test_order_prefixes_and_repeats(monkeypatch, seed, packed):
+    monkeypatch.setattr(suffixes, "_PACKED", packed)
     rng = np.random.default_rng(seed)
     data, ends = pieces(rng)
     if not len(data):
