@@ -31,7 +31,7 @@ SIZE = 200
 #: Bytes of a gram: a power of two. Smaller grams make fewer and longer stretches, longer ones repeat less by chance.
 GRAM = 64
 #: Windows of one stretch, stretches of one anchor in a shard, bytes that one suffix array takes in.
-STRETCH, PART, SHARD = 256, 2000, 1 << 20
+STRETCH, PART, SHARD = 256, 128, 1 << 20
 #: Windows of one text that are looked at together.
 _BLOCK = 1 << 20
 
