@@ -1,4 +1,6 @@
-"""The language model against hand-computed values."""
+"""The language model and its bands against hand-computed values and a plain version."""
+
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +50,8 @@ def test_a_text_does_not_vouch_for_itself(spark):
     assert min(bits[i] for i in (40, 41, 42)) > 4 * max(bits[i] for i in range(40))
 
 
-def test_word_salad_and_junk_are_rejected(spark):
+def _salad_and_junk(spark):
+    """200 clean texts, then eight with their words shuffled and eight of random letters."""
     rng = np.random.default_rng(5)
     pick = lambda *words: words[rng.integers(len(words))]
 
@@ -59,13 +62,25 @@ def test_word_salad_and_junk_are_rejected(spark):
     clean = [" ".join(sentence() for _ in range(rng.integers(6, 30))) for _ in range(200)]
     salad = [" ".join(rng.permutation(t.split())) for t in clean[:8]]
     junk = ["".join(rng.choice(list("etaoin shrdlu "), 500)) for _ in range(8)]
-    docs = spark.createDataFrame(list(enumerate([*clean, *salad, *junk])), "doc_id long, text string").withColumn("lang", F.lit("en"))
+    return spark.createDataFrame(list(enumerate([*clean, *salad, *junk])), "doc_id long, text string").withColumn("lang", F.lit("en"))
+
+
+def test_word_salad_and_junk_are_rejected(spark):
+    docs = _salad_and_junk(spark)
     rows = perplexity.measured(docs).withColumn("base_failed", F.lit(False))
     told = rows.crossJoin(perplexity.bands(rows)).select("doc_id", perplexity._away().between(F.col("low"), F.col("high")).alias("kept"))
     kept = {r.doc_id for r in told.collect() if r.kept}
     assert not kept & set(range(200, 216)) and len(kept) >= 0.95 * 200
 
 
+def test_rules_reject_word_salad_and_junk(spark):
+    rows = perplexity.rules(_salad_and_junk(spark)).collect()
+    kept = {r.doc_id for r in rows if r.kept}
+    assert not kept & set(range(200, 216))
+    clean = [r for r in rows if r.doc_id < 200 and not r.base_failed]
+    assert sum(r.doc_id in kept for r in clean) >= 0.95 * len(clean) and len(clean) > 100
+
+
 def test_distinct_runs_are_the_runs(monkeypatch):
     """By single numbers and, with many characters, by hashes; the places lead back to every run."""
     many = "".join(chr(0x4E00 + 7 * i) for i in range(3000))
@@ -80,3 +95,72 @@ def test_distinct_runs_are_the_runs(monkeypatch):
         assert got == {r: each.count(r) for r in set(each)}
         *found, place = perplexity.distinct_runs(of, texts, places=True)
         assert [tuple(f[i] for f in map(np.ndarray.tolist, found)) for i in place.tolist()][:50] == each[:50]
+
+def _plain_model(texts):
+    """Kneser-Ney over runs of characters by dictionaries: a function from a run to the chance of its last character."""
+    grams = [((0,) * (perplexity.ORDER - 1) + tuple(map(ord, t)))[i : i + perplexity.ORDER] for t in texts for i in range(len(t))]
+    tables = {perplexity.ORDER: Counter(grams)}
+    for order in range(perplexity.ORDER - 1, 0, -1):
+        tables[order] = Counter(g[1:] for g in tables[order + 1])
+    off, size, left = {}, Counter(), Counter()
+    for order, table in tables.items():
+        n1, n2, n3, n4 = (sum(n == k for n in table.values()) for k in (1, 2, 3, 4))
+        off[order] = 0.5, 0.75, 0.9
+        if n1 and n2 and n3:
+            y = n1 / (n1 + 2 * n2)
+            raw = 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3
+            off[order] = tuple(min(max(x, low), high) for x, low, high in zip(raw, (0.05, 0.1, 0.1), (0.95, 1.9, 2.9)))
+        for g, n in table.items():
+            size[order, g[:-1]] += n
+            left[order, g[:-1]] += off[order][min(n, 3) - 1]
+
+    def chance(g):
+        order = len(g)
+        if not order:
+            return perplexity.UNKNOWN
+        context = order, g[:-1]
+        if context not in size:
+            return chance(g[1:])
+        n = tables[order][g]
+        own = (n - off[order][min(n, 3) - 1]) / size[context] if n else 0
+        return own + left[context] / size[context] * chance(g[1:])
+
+    return chance
+
+
+def test_rules_equal_a_plain_version(spark, small):
+    """Bits by dictionaries, bands by numpy, over part of the smallest table with nulls, an unseen script and repeated rows."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").where("doc_id < 70").select("doc_id", "text", "lang")
+    odd = [(900, None, "en"), (901, "", "de"), (902, "日本語の文 " * 30, "en"), (903, "The old house. " * 3, None), (903, "The old house. " * 3, None)]
+    docs = docs.union(spark.createDataFrame(odd, docs.schema))
+    fold = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(2)).alias("fold")
+    rows = docs.select("*", fold).collect()
+    texts = {}
+    for r in rows:
+        texts.setdefault((r.lang, r.fold), []).append(r.text or "")
+    models = {k: _plain_model(own) for k, own in texts.items()}
+    got = {r.doc_id: r for r in perplexity.rules(docs).collect()}
+    width = perplexity.ORDER
+    for r in rows:
+        chance = models.get((r.lang, 1 - r.fold), lambda _: perplexity.UNKNOWN)
+        runs = [((0,) * (width - 1) + tuple(map(ord, r.text)))[i : i + width] for i in range(len(r.text))] if r.text else []
+        want = np.mean([-np.log2(chance(g)) for g in runs]) if runs else 0
+        assert abs(got[r.doc_id].bits - want) < 1e-4 * max(want, 1)
+    checked = 0
+    for lang in {r.lang for r in rows}:
+        own = [got[i] for i in {r.doc_id for r in rows if r.lang == lang}]
+        passed = [r for r in own if not r.base_failed]
+        if not passed:
+            assert not any(r.kept for r in own)
+            continue
+        apart = {(r.bits, r.n_words, r.word_chars) for r in passed}
+        centre = np.median([round(bits, 3) for bits, *_ in apart])
+        low, high = np.percentile([round((bits - centre) * np.sqrt(n), 2) for bits, _, n in apart], [25, 75])
+        reach = max(high - low, 0.01) * perplexity.SPREADS
+        for r in own:
+            away = (r.bits - centre) * np.sqrt(r.word_chars)
+            inside = low - reach <= away <= high + reach
+            if min(abs(away - low + reach), abs(away - high - reach)) > 0.05 or r.base_failed:
+                assert r.kept == (inside and not r.base_failed)
+                checked += 1
+    assert checked > 0.9 * len(got) and 0 < sum(r.kept for r in got.values()) < len(got)
