@@ -101,7 +101,8 @@ _DESCRIBED = ["count", "mean", "std", "min", *_SUMMARY_PROBS, "max"]
 def price_summary(df: DataFrame, category: str = "category", item: str = "item_name", price: str = "price") -> DataFrame:
     """Description of the price per category, before and after outlier removal by item.
 
-    One pass over the rows gives (category, item, price) counts; all else is computed from these.
+    One pass over the rows gives (category, item, price) counts. With the fences of the items they become one row for each
+    category and price, of which ranks and moments of both stages are computed; items are not looked at again.
     """
     keys, group = [category, item], [category, "stage"]
     counts = settle(frequencies(df.na.drop(subset=[*keys, price]), keys, price), "price_counts")
@@ -110,8 +111,11 @@ def price_summary(df: DataFrame, category: str = "category", item: str = "item_n
     middle = (F.col("lower") + F.col("upper")) / 2
     finite = F.when(F.abs(middle) < float("inf"), middle)
     centers = bounds.groupBy(category).agg(F.coalesce(F.avg(finite), F.lit(0.0)).alias("_middle"))
-    stages = F.array_compact(F.array(F.lit("before"), F.when(within(price), F.lit("after"))))
-    staged = counts.join(bounds.join(centers, category), keys).select(category, F.explode(stages).alias("stage"), price, "n", "_middle")
+    told = counts.join(bounds.join(centers, category), keys)
+    both = F.sum("n").alias("_before"), F.sum(F.when(within(price), F.col("n"))).alias("_after"), F.max("_middle").alias("_middle")
+    merged = settle(told.groupBy(category, price).agg(*both), "category_counts")
+    stages = [F.struct(F.lit(stage).alias("stage"), F.col(f"_{stage}").alias("n")) for stage in ("before", "after")]
+    staged = merged.select(category, price, "_middle", F.inline(F.array(*stages))).filter("n IS NOT NULL")
     quantiles = exact_quantiles(staged, group, price, _SUMMARY_PROBS, "n").drop("n_values")
     return _shifted_moments(staged, group, price, "n", "_middle").join(quantiles, group).select(*group, *_DESCRIBED)
 
