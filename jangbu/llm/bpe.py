@@ -173,7 +173,7 @@ def tokenize(
     """One row per row of `docs`: key and the named outputs (n_tokens, ids, decoded, ids_sha256, decoded_sha256).
 
     Whole texts are encoded; a null text counts as empty and has no ids. Decoding starts from the ids. Rows
-    that repeat stay, null keys stay, further columns of `docs` are not looked at.
+    that repeat stay, null keys stay, further columns of `docs` are not looked at, an empty table gives no rows.
     """
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
     needs_text = any(o.startswith("decoded") for o in outputs)

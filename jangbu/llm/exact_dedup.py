@@ -94,7 +94,11 @@ def exact_duplicates(
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of `docs`, with all columns, that stay: one for each text, also where rows repeat."""
+    """The rows of `docs`, with all columns, that stay: one for each text, also where rows repeat.
+
+    Of the rows with the largest key of a text the first by all columns stays. Null texts count as empty, a row without a
+    key stays only where no row of its text has one. An empty table gives no rows.
+    """
     stays = (
         exact_duplicates(docs, text, key).where("kept").select(F.col(key).alias("_key"), F.col("text_sha256").alias("_sha")).distinct()
     )

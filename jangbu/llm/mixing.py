@@ -89,7 +89,9 @@ def mix(
 def mixed_rows(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **options) -> DataFrame:
     """The mix itself: the rows of `docs`, each as often as it is taken, with its own columns only.
 
-    Rows that repeat key, source and size share their copies evenly, in the order of their texts.
+    Rows that repeat key, source and size share their copies evenly, in the order of their texts; rows without a key are
+    taken as rows of one key. Rows without words go at the rate of their source, none of a source that has no word; an empty
+    table gives no rows.
     """
     taken = mix(docs, text, source, key, **options)
     shared = taken.groupBy(F.col(key).alias("_key"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(

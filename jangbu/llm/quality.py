@@ -121,7 +121,7 @@ def score(
     Trees are learned from labels of keys whose crc32 modulo `held_out_of` is not 0; a score comes from the
     text alone. Labels that are null or neither 0 nor 1, and labels without a document, are left
     out; without any label all scores are 0.5. Null and empty texts are scored like others (their statistics are 0), repeated
-    rows get equal scores, a null key is held out of nothing. Further columns are not looked at.
+    rows get equal scores, a null key is held out of nothing. Further columns are not looked at, an empty table gives no rows.
     """
     stats = settle(described(docs, text, key), "statistics")
     away = F.coalesce(fold(key, held_out_of) == 0, F.lit(False))
@@ -150,7 +150,9 @@ def keep_good(
 ) -> DataFrame:
     """The rows of `docs`, with all columns, whose score reaches the threshold.
 
-    Each row is judged by its own text where it stands, so no text is moved and repeated keys do not matter.
+    Each row is judged by its own text where it stands, so no text is moved and repeated keys do not matter; null texts
+    count as empty, rows without a key are judged like others, repeated rows stay or go together. Columns may have any names, an
+    empty table gives no rows; without any label all rows score 0.5.
     """
     labelled = docs.join(labels.select(F.col(key).alias("_labelled")).distinct(), F.col(key) == F.col("_labelled"), "left_semi")
     stats = settle(described(labelled, text, key), "labelled_statistics")

@@ -147,7 +147,8 @@ def judge(
 
     `rules` holds (verdict, host, path). A rule fits its host and all subdomains where the URL's path starts with the rule's;
     the longest wins, of equally long ones that with the longer host; of a rule given twice the last. URLs that no
-    rule fits get `default`, so do null URLs. Repeated rows, null keys and further columns are of no account.
+    rule fits get `default`, so do null URLs. Repeated rows stay, null keys too; further columns are not looked at; an
+    empty table gives no rows, and without rules all URLs get `default`.
     """
     lowered = str.maketrans(_UPPER, _LOWER)
     listed = [(verdict, host.translate(lowered), path) for verdict, host, path in rules]

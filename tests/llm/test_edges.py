@@ -249,8 +249,9 @@ def test_empty_tables(spark, docs, labels):
         for f in (
             lambda d: bpe.tokenize(d, PATH), mixing.mix, mixing.mixed_rows, exact_dedup.exact_duplicates, lambda d: quality.score(d, labels),
             repeats.remove_repeats, perplexity.rules, language.identify, near_dedup.near_duplicates,
+            lambda d: quality.keep_good(d, labels), exact_dedup.keep_one, near_dedup.keep_one,
         )
-    ] == [0] * 9
+    ] == [0] * 12
     pages = spark.createDataFrame([], "page_id long, url string")
     assert urls.judge(pages, []).count() == 0
 
@@ -263,3 +264,26 @@ def test_pipeline_stages(spark, small, docs):
             assert out.columns == docs.columns
         rows = out
     assert rows.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and rows.count() > 0
+
+
+def test_pipeline_stages_take_empty_tables(spark, small, docs):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), small).count() == 0
+
+
+def test_sources_without_words_are_never_taken(spark):
+    rows = [(1, "", "a"), (2, None, "a"), (3, "two words", "b"), (None, "two words", "b")]
+    taken = mixing.mixed_rows(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert taken and {r.source for r in taken} == {"b"}
+
+
+def test_good_rows_are_those_that_score_well(docs, labels):
+    """Row by row, also for repeated rows, rows without a key and null texts."""
+    scored = sorted((repr(r.doc_id) for r in quality.score(docs, labels).collect() if r.predicted))
+    assert sorted(repr(r.doc_id) for r in quality.keep_good(docs, labels).collect()) == scored
+
+
+def test_kept_rows_without_keys_are_those_of_texts_without_keys(spark):
+    rows = [(None, "a", 1), (None, "a", 2), (3, "b", 1), (None, "b", 1), (4, "b", 9), (4, "b", 7), (None, None, 1), (None, "", 1)]
+    got = exact_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string, node int"))
+    assert by_row(got, "doc_id", "node") == sorted([(None, 1), (4, 7), (None, 1)], key=repr)
