@@ -75,3 +75,39 @@ def test_a_thousand_targets_take_the_plan_of_three(spark):
         for r in similarity.max_similarity(df, "id", "title", many[start : start + 17], limit=None).collect():
             each[r["id"]] = max(each.get(r["id"], 0), r["max_similarity"])
     assert got == pytest.approx(each) and got[51] == 0 and 50 not in got and min(got[i] for i in range(50)) > 0
+
+
+def test_repeated_and_missing_keys_count_as_one_text(spark):
+    texts = [(1, "red red pepper"), (1, "red pepper"), (None, "red"), (None, "pepper"), (2, "red pepper"), (3, None), (4, "?")]
+    df = spark.createDataFrame(texts, "id int, title string")
+    got = {(r["id"], r["gram"]): r["tf"] for r in similarity.gram_counts(df, "id", "title").collect()}
+    once = {(2, "red"): 1, (2, "pepper"): 1, (2, "red pepper"): 1, (2, ""): 1, (4, ""): 1}
+    assert got == once | {
+        (1, "red"): 3, (1, "pepper"): 2, (1, "red red"): 1, (1, "red pepper"): 2, (1, ""): 2,
+        (None, "red"): 1, (None, "pepper"): 1, (None, ""): 2,
+    }
+
+
+@pytest.mark.parametrize("limits", [(4000, 3, 1 << 17), (1, 1, 2), (4000, 1, 1)])
+def test_results_do_not_depend_on_the_frequent_grams(spark, monkeypatch, limits):
+    for name, value in zip(("_DRAWN", "_LEAST", "_FREQUENT"), limits):
+        monkeypatch.setattr(similarity, name, value)
+    texts = {i: f"red {'big ' * (i % 4)}pepper{i % 7} word{i // 2}" for i in range(60)}
+    df = spark.createDataFrame(list(texts.items()), "id int, title string")
+    monkeypatch.setitem(globals(), "TITLES", texts)
+    monkeypatch.setitem(globals(), "TARGETS", ["red pepper3", "big big", "word4", "gone"])
+    weights, best = expected()
+    scores = {r["id"]: r["max_similarity"] for r in similarity.max_similarity(df, "id", "title", TARGETS, limit=None).collect()}
+    assert scores == {k: pytest.approx(v) for k, v in best.items()}
+    got = {}
+    for r in similarity.tfidf_weights(df, "id", "title").collect():
+        got.setdefault(r["id"], {})[r["gram"]] = r["weight"]
+    assert got == {k: pytest.approx(v) for k, v in weights.items()}
+
+
+def test_grams_are_not_aggregated_or_joined_one_by_one(spark):
+    """The grams of a text are counted in its row, those of all texts are moved by gram once, and no join of them is sorted."""
+    df = spark.createDataFrame([(i, f"word{i} word{i % 5} and more") for i in range(40)], "id int, title string")
+    plan = similarity.max_similarity(df, "id", "title", ["word1"], limit=None)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert plan.count("hashpartitioning(gram") == 1
