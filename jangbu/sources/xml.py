@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +20,24 @@ def _empty_to_null(df: DataFrame) -> DataFrame:
 
 #: Text of a record that did not parse; NULL for all others.
 CORRUPT = "_corrupt_record"
+#: Where a record was read, and its text.
+FILE, RECORD = "file", "record"
+
+
+# A record: an empty element, or an opening tag and what follows up to the closing one or, if it breaks off, the end.
+_ATTRIBUTES = r"""(?:\s+[^\s=<>/]+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*\s*"""
+_ROW = rf"<row{_ATTRIBUTES}(?:/>|>[\s\S]*?(?:</row\s*>|\z))"
+_OPENING = r"<row(?:\s[^<>]*[^<>/])?\s*>"
+_COMMENT = r"<!--[\s\S]*?-->"
+
+
+def _as_path(file: str) -> str:
+    """A path for readers, which do not decode but expand it, of a file's name as Spark shows it."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", unquote(file))
+
+
+def _open_at_end(text: Column, opening: str, closing: str) -> Column:
+    return text.contains(opening) & ~F.substring_index(text, opening, -1).contains(closing)
 
 
 def read_rows(
@@ -24,18 +45,44 @@ def read_rows(
 ) -> DataFrame:
     """Every `row` element of XML files.
 
-    With `corrupt`, a record that does not parse is a row too, with what Spark keeps of its text (that of the whole page) in
-    CORRUPT; without, it is left out. Spark answers no query on CORRUPT alone: store the rows to count them.
+    Files are cut after the closing tags of records, so a large one is read by many tasks. Only those with such a tag inside a
+    comment or CDATA, or with a record inside another, are read whole, each by one task; one look at all texts finds them.
+    With `corrupt`, a record that does not parse is a row too, with its text (in files read whole, that of the page) in CORRUPT;
+    without, it is left out. Neither costs a neighbour.
     """
-    reader = spark.read.format("xml").option("rowTag", "row")
-    if not corrupt:
-        return _empty_to_null(reader.option("mode", "DROPMALFORMED").schema(columns).load(paths))
     kept = T.StructType([*columns.fields, T.StructField(CORRUPT, T.StringType())])
-    return _empty_to_null(reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).schema(kept).load(paths))
-
-
-#: Where a record was read, and its text.
-FILE, RECORD = "file", "record"
+    texts = spark.read.option("lineSep", "/row>").text(paths).select("value", F.col("_metadata.file_path").alias(FILE))
+    plain = F.when(F.col("value").contains("<!--"), F.regexp_replace("value", _COMMENT, "")).otherwise(F.col("value"))
+    unlike = _open_at_end(F.col("value"), "<!--", "-->") | _open_at_end(F.col("value"), "<![CDATA[", "]]>")
+    last = F.substring_index(plain, "</row", -1)
+    unlike |= (F.substring_index(last, "<row", 2) != last) & (F.regexp_count(last, F.lit(_OPENING)) > 1)
+    whole = [r[0] for r in texts.filter(unlike).select(FILE).distinct().collect()]
+    if whole:
+        texts = texts.filter(~F.col(FILE).isin(whole))
+    # What the cut took off is put back; a record that breaks off with its file does not end like this.
+    text = F.when(F.col("value").endswith("<"), F.concat(plain, F.lit("/row>"))).otherwise(plain)
+    # Nearly all texts hold one record that begins plainly; the pattern, which is much slower, is for the others.
+    before, after = F.substring_index("value", "<row", 1), F.substring_index("value", "<row>", -1)
+    alone = F.col("value").endswith("<") & (F.concat(before, F.lit("<row>"), after) == F.col("value"))
+    alone &= ~after.contains("<row") & ~F.col("value").contains("</row") & ~F.col("value").contains("<!--")
+    cut = F.when(alone, F.array(F.concat(F.lit("<row>"), after, F.lit("/row>")))).otherwise(F.regexp_extract_all(text, F.lit(_ROW), 0))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    pair = lambda r: F.struct(r.alias(RECORD), F.from_xml(r, kept, options).alias("row"))
+    found = F.transform(cut, pair)
+    # Cut and parsed within the generator and in its outer form, so that Spark repeats neither for the cells or a filter.
+    found = texts.select(F.explode_outer(found).alias("_found")).filter(F.col("_found").isNotNull())
+    row = F.col("_found.row")
+    broken = row.isNull() | row[CORRUPT].isNotNull()
+    cells = [F.when(~broken, row[c]).alias(c) for c in columns.names]
+    found = found.select(*cells, F.when(broken, F.col(f"_found.{RECORD}")).alias(CORRUPT))
+    if not corrupt:
+        found = found.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    if whole:
+        # Spark answers no query on CORRUPT alone for these.
+        mode = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT} if corrupt else {"mode": "DROPMALFORMED"}
+        reader = spark.read.format("xml").options(rowTag="row", **mode).schema(kept if corrupt else columns)
+        found = found.unionByName(reader.load([_as_path(f) for f in whole]))
+    return _empty_to_null(found)
 
 
 def split_rows(

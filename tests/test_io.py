@@ -261,3 +261,30 @@ def test_broken_records_are_kept_apart(spark, tmp_path):
         plan.load(spark, [], str(folder))
     (folder / "p.xml").write_text("", encoding="utf-8")
     assert [part.count() for part in xml.split_rows(spark, str(folder / "p.xml"))] == [0, 0]
+
+
+def test_large_xml_files_are_read_by_many_tasks(spark, tmp_path):
+    """The rows are those that Spark's own reader gives, which reads a file by one task."""
+    folder, rows_ = tmp_path / "pages", "".join(f"<row n='>{i}'>\n<P_SEQ>{i}</P_SEQ><row_id>x</row_id></row>" for i in range(20000))
+    folder.mkdir()
+    (folder / "p.xml").write_text(f"<rows><!-- <row> --><row_count>2</row_count>{rows_}<row/></rows>", encoding="utf-8")
+    odd = {
+        "comment": "<!-- <row><P_SEQ>7</P_SEQ></row> <row></row> --><row><P_SEQ>a</P_SEQ></row >\n<row><P_SEQ>b</P_SEQ></row>",
+        "odd [é] +%20": "<row><P_SEQ><![CDATA[</row><row>c & d]]></P_SEQ></row><row><P_SEQ>x & y</P_SEQ></row>",
+        "nested": "<row><P_SEQ>e</P_SEQ><row><P_SEQ>no</P_SEQ></row></row><row><P_SEQ>f</P_SEQ></row>",
+        "short": "<row><P_SEQ>g</P_SEQ></row><row><P_SEQ>no</P_SEQ>",
+    }
+    for name, text in odd.items():
+        (folder / f"{name}.xml").write_text(f"<rows>{text}" + ("" if name == "short" else "</rows>"), encoding="utf-8")
+    own = xml._empty_to_null(spark.read.format("xml").options(rowTag="row", mode="DROPMALFORMED").schema(schema.API).load(str(folder)))
+    got = xml.read_rows(spark, str(folder))
+    assert plain(got) == plain(own) and got.columns == own.columns and got.count() == 20007
+    alone = tmp_path / "alone.xml"
+    alone.write_text(f"<rows>{rows_}</rows>", encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        cut = xml.read_rows(spark, str(alone))
+        assert cut.rdd.getNumPartitions() > 4 and cut.filter("P_SEQ IS NOT NULL").distinct().count() == 20000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r[xml.CORRUPT] for r in xml.read_rows(spark, str(folder / "short.xml"), corrupt=True).collect()} == {None, "<row><P_SEQ>no</P_SEQ>"}
