@@ -153,10 +153,16 @@ def _api_records(spark, folder):
     return raw.withColumnsRenamed(by_name)
 
 
+#: Records in a packed XML file, which one task reads whole.
+_FILE_RECORDS = 100_000
+
+
 @query
 def xml_rows(spark, folder):
+    """Tags make records many times as long as their rows, so the files are packed and hold a limited number each."""
     path = scratch_path(spark, "xml_rows")
-    _api_records(spark, folder).write.format("xml").option("rowTag", "row").option("rootTag", "response").save(path)
+    options = {"rowTag": "row", "rootTag": "response", "compression": "gzip", "maxRecordsPerFile": _FILE_RECORDS}
+    _api_records(spark, folder).write.format("xml").options(**options).save(path)
     found = xml.read_rows(spark, path).withColumnsRenamed(schema.API_TAGS)
     return found.select(*samples.survey_raw(spark, folder).columns)
 

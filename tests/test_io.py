@@ -1,12 +1,16 @@
 """Sources and sinks: round trips in fresh folders."""
 
+import gzip
 from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jangbu import schema
 from jangbu.operators import rows
+from jangbu.plans import catalog
 from jangbu.plans import survey as plan
 from jangbu.sinks import tables as sinks
 from jangbu.sources import pages, tables, xml
@@ -288,3 +292,50 @@ def test_large_xml_files_are_read_by_many_tasks(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert {r[xml.CORRUPT] for r in xml.read_rows(spark, str(folder / "short.xml"), corrupt=True).collect()} == {None, "<row><P_SEQ>no</P_SEQ>"}
+
+
+def test_xml_query_packs_its_files(spark, tmp_path, monkeypatch):
+    """Its files take a fraction of their text, none holds more records than the limit, and all rows come back."""
+    tables_ = {
+        "lineitem": "id l_orderkey, id % 50 l_partkey, id % 20 l_suppkey, 1 l_linenumber, 2D l_quantity, id * 1.25D l_extendedprice, "
+        "0.1D l_discount, 0D l_tax, 'R' l_returnflag, 'O' l_linestatus, timestamp_ntz '1998-01-01' + make_interval(0, 0, 0, id % 900) l_shipdate",
+        "part": "id p_partkey, '<볼트 & ' || id || '>' p_name, 'b' p_brand, 't' p_type, 1 p_size, 1D p_retailprice",
+        "supplier": "id s_suppkey, 'm' || id s_name, 0 s_nationkey, 1D s_acctbal",
+        "nation": "0 n_nationkey, 'n' n_name, 0 n_regionkey",
+    }
+    for (name, columns), n in zip(tables_.items(), (3000, 50, 20, 1), strict=True):
+        spark.sql(f"SELECT {columns} FROM (SELECT CAST(id AS INT) id FROM range(0, {n}))").select(
+            *[F.col(c.name).cast(c.dataType) for c in T.StructType.fromDDL(samples.SCHEMAS[name])]
+        ).write.parquet(str(tmp_path / f"{name}.parquet"))
+    monkeypatch.setattr(catalog, "_FILE_RECORDS", 500, raising=False)
+    before = set(Path(scratch_root(spark)).iterdir())
+    with scratch(spark):
+        got = plain(catalog.QUERIES["xml_rows"](spark, str(tmp_path)))
+        files = [f for d in set(Path(scratch_root(spark)).iterdir()) - before for f in d.glob("part-*")]
+        texts = [gzip.decompress(f.read_bytes()) if f.suffix == ".gz" else f.read_bytes() for f in files]
+        sizes = [f.stat().st_size for f in files]
+    raw = samples.survey_raw(spark, str(tmp_path))
+    assert got == plain(xml._empty_to_null(raw)) and len(got) == 3000
+    records = [t.count(b"<row>") for t in texts]
+    assert sum(records) == 3000 and max(records) <= 500
+    assert sum(sizes) * 5 < sum(map(len, texts))
+
+
+def test_packed_xml_files_are_read_like_plain_ones(spark, tmp_path):
+    """Whichever way a record is told: alone in its text, beside others that begin alike, or in a file read whole."""
+    texts = {
+        "alone": "<row><P_SEQ>1</P_SEQ></row>\n <row><P_SEQ>2 무</P_SEQ><A_NAME></A_NAME></row>",
+        "alike": "<row_count>2</row_count><row><P_SEQ>3</P_SEQ><row_id>x</row_id></row><row n='1'><P_SEQ>4</P_SEQ></row><row/><row ><P_SEQ>5</P_SEQ></row >",
+        "broken": "<row><P_SEQ>x & y</P_SEQ></row><row><P_SEQ>6</P_SEQ></row>",
+        "comment": "<!-- <row><P_SEQ>no</P_SEQ></row> --><row><P_SEQ>7</P_SEQ></row>",
+        "nested": "<row><P_SEQ>8</P_SEQ><row><P_SEQ>no</P_SEQ></row></row><row><P_SEQ>9</P_SEQ></row>",
+    }
+    for name, text in texts.items():
+        for kind, end in (("plain", ""), ("packed", ".gz")):
+            (tmp_path / kind).mkdir(exist_ok=True)
+            data = f"<rows>{text}</rows>".encode()
+            (tmp_path / kind / f"{name}.xml{end}").write_bytes(gzip.compress(data) if end else data)
+    for corrupt in (False, True):
+        got = [plain(xml.read_rows(spark, str(tmp_path / kind), corrupt=corrupt)) for kind in ("plain", "packed")]
+        assert got[0] == got[1]
+        assert sorted(r[0] for r in got[1] if r[0] and (not corrupt or r[-1] is None)) == ["1", "2 무", *"3456789"]
